@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from promoledger.queries import sales, sales_sql
+from promoledger.queries import promotions, promotions_sql, sales, sales_sql
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**sales.QUERIES}
-SQL: dict[str, str] = {**sales_sql.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**sales.QUERIES, **promotions.QUERIES}
+SQL: dict[str, str] = {**sales_sql.SQL, **promotions_sql.SQL}
