@@ -6,7 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from promoledger.queries import promotions, promotions_sql, sales, sales_sql
+from promoledger.queries import (
+    dimensions,
+    dimensions_sql,
+    gates,
+    gates_sql,
+    promotions,
+    promotions_sql,
+    sales,
+    sales_sql,
+    storage,
+    storage_sql,
+)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**sales.QUERIES, **promotions.QUERIES}
-SQL: dict[str, str] = {**sales_sql.SQL, **promotions_sql.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **sales.QUERIES,
+    **promotions.QUERIES,
+    **dimensions.QUERIES,
+    **gates.QUERIES,
+    **storage.QUERIES,
+}
+SQL: dict[str, str] = {
+    **sales_sql.SQL,
+    **promotions_sql.SQL,
+    **dimensions_sql.SQL,
+    **gates_sql.SQL,
+    **storage_sql.SQL,
+}

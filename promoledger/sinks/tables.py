@@ -32,8 +32,11 @@ def upsert_days(
     """Daily merge: a reload of ``day`` drops the newest batch of the last week, then the rows merge.
 
     Matches are searched in the partitions of today and yesterday only. Inserts
-    dated elsewhere are appended to their own partition.
+    dated elsewhere are appended to their own partition. The table is partitioned
+    by day, so that whole folders are in or out of the merge.
     """
+    if "time_key" not in partition_cols:
+        raise ValueError("upsert_days needs time_key among the partition columns")
     if not storage.exists(spark, path):
         overwrite_partitions(source, path, partition_cols)
         return

@@ -42,12 +42,13 @@ def replace_slice(
     scope that get no row are removed, which a dynamic overwrite alone never does.
     """
     spark = df.sparkSession
+    keys = list(partition_cols)
+    # Folders in scope before the change. Filtering behind the distinct makes a scope on any other
+    # column an analysis error, which would otherwise take rows outside the scope along.
+    before = spark.read.parquet(path).select(*keys).distinct().filter(scope) if storage.exists(spark, path) else None
     staged, staged_path = session.stage(df, "slice")
     stale: list[str] = []
-    if storage.exists(spark, path):
-        keys = list(partition_cols)
-        # Partition values only: at most one row per folder in scope.
-        before = spark.read.parquet(path).filter(scope).select(*keys).distinct()
+    if before is not None:
         after = staged.select(*keys).distinct()
         stale = [
             "/".join([path.rstrip("/"), *[f"{k}={row[k]}" for k in keys]])
