@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promoledger.functions import keys
 from promoledger.operators import dims, feed, io_master, monthly, promo
 from promoledger.operators.joins import spread_join
 from promoledger.queries import views
-from promoledger.queries.sales import TRAILING_MONTH, coded_lists
+from promoledger.queries.sales import code_table, size_table
 from promoledger.queries.shape import ratio, rows, total, whole
 
 VALUES = promo.VALUES
@@ -102,7 +101,7 @@ def bridge_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def std_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.hierarchy(spark, sf_dir).select(
+    return views.build_hierarchy(spark, sf_dir).select(
         "product_code",
         "product_desc",
         "dp_name",
@@ -217,14 +216,22 @@ def _off_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return promo.io_brands(views.io(spark, sf_dir), views.hierarchy(spark, sf_dir))
 
 
-def _share(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.layer(spark, sf_dir, "io-brands", _build_brands)
+
+
+def _build_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io_master.category_share(views.split(spark, sf_dir, False), "ALL", "ALL", views.CATEGORIES)
 
 
+def _share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.layer(spark, sf_dir, "category-share", _build_share)
+
+
 def _off_report(allocated: DataFrame) -> DataFrame:
     return allocated.groupBy(
         "month_id", "IO", "promotion_type", "brand_IO", "category_IO", "standard_product_group_code", "budget_holder_group"
@@ -266,7 +273,7 @@ def _off_lines_allocated(spark: SparkSession, sf_dir: str, lines: DataFrame) ->
 
 def daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily promotion fact at invoice grain."""
-    lines = views.promos(spark, sf_dir)
+    lines = views.processed_promos(spark, sf_dir)
     brands = _brands(spark, sf_dir)
     return promo.daily_promotions(
         promo.on_invoice(lines, views.dim_promotion(spark), views.hierarchy(spark, sf_dir), views.io(spark, sf_dir)),
@@ -286,10 +293,12 @@ def daily_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _monthly_lookups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
-    months = keys.trailing_months(TRAILING_MONTH)
-    means = monthly.trailing_avg(views.sales_fact(spark, sf_dir), months, value="gross_sales_val")
-    sizes = monthly.store_size_codes(means, views.store_sizes(spark))
-    return views.outlets(spark, sf_dir), views.distributors(spark, sf_dir), coded_lists(spark, sf_dir), sizes
+    return (
+        views.outlets(spark, sf_dir),
+        views.distributors(spark, sf_dir),
+        code_table(spark, sf_dir),
+        size_table(spark, sf_dir),
+    )
 
 
 def monthly_on(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +322,7 @@ def monthly_on(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monthly_off_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Off-invoice month rows: totals and flags sit on one marker row per month, outlet and product."""
-    lines = views.promos(spark, sf_dir)
+    lines = views.processed_promos(spark, sf_dir)
     off = _off_lines_allocated(spark, sf_dir, lines)
     other = promo.unprocessed_mechanisms(lines)
     booked = off.withColumn("product_code", F.col("standard_product_group_code"))

@@ -159,10 +159,7 @@ def trailing_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store_size_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store-size class by the trailing mean; 0 outside every band."""
-    months = keys.trailing_months(TRAILING_MONTH)
-    means = trailing_avg(views.sales_fact(spark, sf_dir), months, value="gross_sales_val")
-    sizes = store_size_codes(means, views.store_sizes(spark))
-    return sizes.select("outlet_code", F.coalesce("store_size_code", F.lit(0)).alias("store_size_code"))
+    return _sizes(spark, sf_dir).select("outlet_code", F.coalesce("store_size_code", F.lit(0)).alias("store_size_code"))
 
 
 def coded_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +176,20 @@ def coded_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def code_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.layer(spark, sf_dir, "codes", coded_lists)
+
+
+def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    months = keys.trailing_months(TRAILING_MONTH)
+    means = trailing_avg(views.sales_fact(spark, sf_dir), months, value="gross_sales_val")
+    return store_size_codes(means, views.store_sizes(spark))
+
+
+def size_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.layer(spark, sf_dir, "store-sizes", _sizes)
+
+
 def outlet_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Channels that outlets carry, with their group."""
     used = views.outlets(spark, sf_dir).select("channel").distinct()
@@ -200,9 +211,6 @@ def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value_added_tax",
         "sales_pc_qty",
     )
-    coded = coded_lists(spark, sf_dir)
-    months = keys.trailing_months(TRAILING_MONTH)
-    sizes = store_size_codes(trailing_avg(fact, months, value="gross_sales_val"), views.store_sizes(spark))
     rolled = sales.monthly_sales(
         fact,
         None,
@@ -210,8 +218,8 @@ def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.distributors(spark, sf_dir),
         views.bridge(spark, sf_dir, mapped=False),
         views.outlets(spark, sf_dir),
-        sizes,
-        coded,
+        size_table(spark, sf_dir),
+        code_table(spark, sf_dir),
         excluded_prefix="0000075",
     )
     return rolled.groupBy(

@@ -8,12 +8,16 @@ do not depend on row order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from promoledger.functions import keys
 from promoledger.operators import dims, feed, io_master
-from promoledger.sources.readers import constant_relation
+from promoledger.session import stage
+from promoledger.sources.readers import constant_relation, read_parquet, spread_scan
 
 CATEGORIES = [f"Category {n}" for n in range(1, 6)]
 CHANNEL_MAP = {"PROFESSIONAL": "PROFESSIONAL", "BUILDING": "BUILDING", "FURNITURE": "FURNITURE"}
@@ -37,8 +41,33 @@ DIM_PROMOTION = [
 ]
 
 
+_FACT_KEYS = {"lineitem": ("l_orderkey", "l_partkey")}
+_known_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the provided tables. Its schema is read from the files once, not by a job per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _known_schemas:
+        _known_schemas[path] = spark.read.parquet(path).schema
+    df = read_parquet(spark, path, _known_schemas[path])
+    return spread_scan(df, *_FACT_KEYS[name]) if name in _FACT_KEYS else df
+
+
+_layers: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def layer(spark: SparkSession, sf_dir: str, label: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """A reference table or processed layer, written once per application and read by all that need it.
+
+    This is how the warehouse holds them: masters, funding proportions, codes and
+    the processed promotions are stored tables, so a job that reads one in
+    several branches scans it, and does not derive it anew per branch.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _layers:
+        _layers[key], _ = stage(build(spark, sf_dir), label)
+    return _layers[key]
 
 
 def text(column: str) -> Column:
@@ -150,6 +179,11 @@ def promos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.harmonize_promo(promo_feed(spark, sf_dir), article(spark, sf_dir))
 
 
+def processed_promos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored processed layer, for jobs that read it in several branches."""
+    return layer(spark, sf_dir, "promos", promos)
+
+
 def pieces_per_unit(size: str = "p_size") -> Column:
     """0 for the smallest parts, else a power of two, so that values per unit stay exact."""
     s = F.col(size)
@@ -188,10 +222,14 @@ def local_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.standard_hierarchy(local_product(spark, sf_dir), article(spark, sf_dir))
 
 
+def hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layer(spark, sf_dir, "hierarchy", build_hierarchy)
+
+
 def outlets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         outlet_code("c_custkey").alias("outlet_code"),
@@ -274,11 +312,15 @@ def io_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def io(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_io(spark: SparkSession, sf_dir: str) -> DataFrame:
     categories = dims.brand_categories(local_product(spark, sf_dir))
     return io_master.io_proportions(io_raw(spark, sf_dir), budget_holders(spark), categories)
 
 
+def io(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layer(spark, sf_dir, "io", build_io)
+
+
 def split(spark: SparkSession, sf_dir: str, by_period: bool) -> DataFrame:
     """Wide split table: sales of each category as a column, per channel (and quarter)."""
     part = table(spark, sf_dir, "part").select("p_partkey", category_name(brand_number()).alias("__category"))

@@ -14,6 +14,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # No call-site capture per column expression: plans here are built from many small ones.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
