@@ -18,6 +18,8 @@ SESSION_DEFAULTS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+_local_folders: dict[str, str] = {}
+
 
 def build_session(app_name: str = "promoledger", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or reuse) a session with the defaults above; ``conf`` wins over them."""
@@ -39,9 +41,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="promoledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="promoledger-")
+    return _local_folders[application]
 
 
 def new_work_path(spark: SparkSession, label: str) -> str:
