@@ -79,11 +79,19 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def constant_relation(spark: SparkSession, rows: Sequence[tuple] | dict, schema: str | T.StructType) -> DataFrame:
-    """Small fixed relation (code maps, axis lists) written down in the program."""
+    """Small fixed relation (code maps, axis lists) written down in the program.
+
+    Built from literals over a one-row range. Unlike rows shipped from Python, whose
+    size the optimizer takes as unknown, it is seen as tiny, so joins to it broadcast.
+    """
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
     data = list(rows.items()) if isinstance(rows, dict) else list(rows)
-    return spark.createDataFrame(data, schema)
+    entries = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in data
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
 
 
 def parameter_row(spark: SparkSession, **values) -> DataFrame:
     """One-row relation of literals."""
-    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+    return spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in values.items()])
