@@ -31,7 +31,9 @@ def spread_join(
     shuffle; a right side that was just aggregated on the join keys does not. So
     the left rows of a key are dealt over ``salts`` sub-keys by a hash of their
     identifying columns (repeatable when a lost task reruns) and each right row
-    is repeated per sub-key. Valid for inner, left, left_semi and left_anti.
+    is repeated per sub-key. The salted keys also force a fresh shuffle of both
+    sides, so AQE can split what is still too large, however hot the key is.
+    Valid for inner, left, left_semi and left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if salts <= 1:

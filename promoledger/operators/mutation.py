@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promoledger.functions import keys, rules
-from promoledger.operators.joins import spread_join
+from promoledger.operators.joins import latest_per_key, spread_join
 
 SALES_KEYS = ("product_code", "invoice_number")
 # Columns a match never changes: the partition a row lives in, its date and its first load time.
@@ -23,18 +23,19 @@ def upsert(
     source: DataFrame,
     on: Sequence[str] = SALES_KEYS,
     keep: Sequence[str] = KEPT_ON_UPDATE,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Target rows with matching source rows applied, plus the source rows that match nothing.
 
     A matched target row takes every source column except the keys and ``keep``.
-    Source keys must be unique (``latest_per_key`` makes them so); target keys
-    need not be, and null keys match nothing. A left join plus an anti join
-    rather than one full outer join: both can be spread when a key is hot.
+    Neither side needs unique keys: every unmatched source row is inserted, and a
+    key with several source rows updates its matches from the last of them (by
+    ``order``, then by all columns). Null keys match nothing. A left join plus an
+    anti join rather than one full outer join: both can be spread when a key is hot.
     """
     updated = [c for c in target.columns if c not in on and c not in keep]
-    incoming = source.select(
-        *on, F.lit(True).alias("__hit"), *[F.col(c).alias(f"__new_{c}") for c in updated]
-    )
+    last = latest_per_key(source.select(*dict.fromkeys([*on, *order, *updated])), list(on), list(order))
+    incoming = last.select(*on, F.lit(True).alias("__hit"), *[F.col(c).alias(f"__new_{c}") for c in updated])
     merged = spread_join(target, incoming, on).select(
         *[
             F.when(F.col("__hit"), F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) if c in updated else F.col(c)

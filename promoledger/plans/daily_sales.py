@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from promoledger import schemas
 from promoledger.functions import keys
-from promoledger.operators.joins import latest_per_key
 from promoledger.operators.sales import conform_sales, enrich_sales
 from promoledger.sinks import tables, writers
 from promoledger.sources import readers
@@ -38,8 +37,7 @@ def load_day(
         spark, paths.processed, year_id=day // 10000, month_id=day // 100, time_key=day
     )
     enriched = schemas.conform(enrich_sales(processed, salesman, product, batch_ts), schemas.DAILY_SALES)
-    source = latest_per_key(enriched, ["product_code", "invoice_number"], ["invoice_date"])
-    tables.upsert_days(spark, paths.fact, source, day)
+    tables.upsert_days(spark, paths.fact, enriched, day)
     tables.restate_returns_in_place(spark, paths.fact, day=day, batch_ts=batch_ts)
     first, last = keys.day_window(day, 7)
     writers.export_window(spark.read.parquet(paths.fact), paths.export, "time_key", first, last)

@@ -35,6 +35,33 @@ def test_spread_join_equals_plain_join(spark, sides, how, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_a_hot_key_is_split_although_the_other_side_is_grouped_by_it(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k) for k in conf if spark.conf.get(k, None) is not None}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+        left = spark.range(0, n, 1, 8).select(hot.alias("k"), F.col("id").alias("invoice_no"), F.rand(1).alias("v"))
+        right = spark.range(n).repartition(4).select(F.col("id").alias("k")).groupBy("k").agg(F.count("*").alias("c"))
+        for salts, split in ((1, False), (4, True)):
+            out = joins.spread_join(left, right, "k", salts=salts)
+            frame = out.agg(F.count("c"), F.sum("invoice_no"), F.sum("v"))
+            assert tuple(frame.collect()[0])[:2] == (n, n * (n - 1) // 2)
+            assert ("skew=true" in frame._jdf.queryExecution().executedPlan().toString()) == split
+    finally:
+        for k in conf:
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
+
+
 def test_salting_keeps_unused_columns_out_of_the_scan(spark, tmp_path):
     path = str(tmp_path / "wide")
     spark.range(100).select(

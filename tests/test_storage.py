@@ -125,6 +125,10 @@ def test_upsert_updates_inserts_and_is_idempotent(spark):
         ("P2", 3, "d1", 10, 10, 20201205),
         ("P3", 8, "d2", 20, 20, 20201206),
     ]
+    twice = source.union(source.withColumn("v", F.col("v") + 1))
+    assert rowset(mutation.upsert(target, twice, order=["v"]).filter("product_code is not null"), "product_code", "v") == [
+        ("P1", 8), ("P1", 8), ("P2", 3), ("P3", 8), ("P3", 9)
+    ]
     keyed = source.filter("product_code is not null")
     again = mutation.upsert(mutation.upsert(target, keyed), keyed)
     assert rowset(again) == rowset(mutation.upsert(target, keyed))
