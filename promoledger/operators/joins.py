@@ -12,40 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 8
-_SALT = "__salt"
-# Columns that tell rows of one key apart; only these are hashed into the salt, so that salting
-# does not keep otherwise unused columns alive in the scan.
-_ROW_IDENTITY = (
-    "invoice_no invoice_number billing_item product_code time_key transactional_outlet_code outlet_code "
-    "brand_code promotion_id"
-).split()
-
-
-def spread_join(
-    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left", salts: int = DEFAULT_SALTS
-) -> DataFrame:
+_HASH = "__hash"
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
     """Join whose left side may have hot keys and whose right side is grouped by the join keys.
 
     AQE splits skewed partitions only when both sides come straight from a
-    shuffle; a right side that was just aggregated on the join keys does not. So
-    the left rows of a key are dealt over ``salts`` sub-keys by a hash of their
-    identifying columns (repeatable when a lost task reruns) and each right row
-    is repeated per sub-key. The salted keys also force a fresh shuffle of both
-    sides, so AQE can split what is still too large, however hot the key is.
-    Valid for inner, left, left_semi and left_anti.
+    shuffle; a right side that was just aggregated on the join keys does not,
+    since its partitioning is reused. A hash of the keys as one more join key
+    makes that partitioning insufficient, so both sides are freshly shuffled and
+    AQE splits the hot ones into as many tasks as their size asks for. No row is
+    repeated, and a small side still broadcasts as in any join. Valid for inner,
+    left, left_semi and left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if salts <= 1:
-        return left.join(right, keys, how)
-    others = [c for c in left.columns if c not in keys]
-    identity = [c for c in _ROW_IDENTITY if c in others] or others or keys
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in identity]), F.lit(salts))
-    salted_left = left.withColumn(_SALT, salt)
-    salted_right = right.withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-    )
-    return salted_left.join(salted_right, [*keys, _SALT], how).drop(_SALT)
+    key_hash = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    return left.withColumn(_HASH, key_hash).join(right.withColumn(_HASH, key_hash), [*keys, _HASH], how).drop(_HASH)
 
 
 def null_safe_semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
