@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from promoledger.llm import quality
+from promoledger.llm import bpe, langid, quality
 
 QUERIES = {
     "op2_quality_classifier": quality.query,
+    "op5_language_id": langid.query,
+    "op9_bpe_encode_decode": bpe.query,
 }
 SQL: dict[str, str] = {}
