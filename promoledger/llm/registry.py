@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from promoledger.llm import bpe, langid, quality
+from promoledger.llm import bpe, langid, quality, simhash
 
 QUERIES = {
     "op2_quality_classifier": quality.query,
+    "op4_simhash_near_dedup": simhash.query,
     "op5_language_id": langid.query,
     "op9_bpe_encode_decode": bpe.query,
 }
