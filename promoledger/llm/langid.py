@@ -136,8 +136,8 @@ class Profiles:
         return np.where(theirs < 0, self.top, apart).sum(axis=0)
 
 
-def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text", top: int = TOP) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; each whole text is profiled where it lies."""
+def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text", top: int = TOP, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and its score; each whole text is profiled where it lies."""
 
     @F.arrow_udf("lang_pred string, score double")
     def nearest(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -156,9 +156,9 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "
                     scores.append(0.0)
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    outputs = ["lang_pred", "score"]
-    found = docs.select(*with_outputs(docs, outputs), nearest(F.col(text_col)).alias("__found"))
-    return found.select(*with_outputs(found, ["__found"]), "__found.lang_pred", "__found.score")
+    found = docs.select(*with_outputs(docs, names), nearest(F.col(text_col)).alias("__found"))
+    kept = with_outputs(found, ["__found"])
+    return found.select(*kept, F.col("__found.lang_pred").alias(names[0]), F.col("__found.score").alias(names[1]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

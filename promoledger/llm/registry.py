@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from promoledger.llm import bpe, langid, quality, simhash
+from promoledger.llm import bpe, langid, line_dedup, packing, quality, simhash
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.query,
     "op2_quality_classifier": quality.query,
     "op4_simhash_near_dedup": simhash.query,
     "op5_language_id": langid.query,
+    "op8_packing": packing.query,
     "op9_bpe_encode_decode": bpe.query,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op8_packing": packing.SQL}
