@@ -61,3 +61,42 @@ def text_groups(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, in
         end = min(max(end, row + 1), rows)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """The runs of equal keys of rows sorted by them, each as one table; keeps one run and one batch."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for column in columns:
+            change[1:] |= column[1:] != column[:-1]
+        change[0] = last is None or tuple(c[0] for c in columns) != last
+        starts = np.flatnonzero(change)
+        if not len(starts) or starts[0]:
+            held.append(batch.slice(0, int(starts[0]) if len(starts) else batch.num_rows))
+        for i, start in enumerate(starts):
+            if held:
+                yield pa.Table.from_batches(held)
+            end = int(starts[i + 1]) if i + 1 < len(starts) else batch.num_rows
+            held = [batch.slice(int(start), end - int(start))]
+        last = tuple(c[-1] for c in columns)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """An Arrow list column of equally long, null-free lists as a two-dimensional array of doubles."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    rows = len(column)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1) if rows else np.zeros((0, 1))
+
+
+def usable_vector(vector: Column, ident: Column) -> Column:
+    """Whether a vector takes part: id and vector are there, no component is null, infinite or NaN, not all are zero."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(ident.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
