@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from promoledger.llm import bpe, langid, line_dedup, packing, quality, simhash
+from promoledger.llm import bpe, forest, langid, line_dedup, multi_index, packing, quality, simhash, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_quality_classifier": quality.query,
+    "op3_warc": warc.query,
     "op4_simhash_near_dedup": simhash.query,
     "op5_language_id": langid.query,
+    "op6_embedding_near_dedup": forest.query,
+    "op7_nearest_neighbours": multi_index.query,
     "op8_packing": packing.query,
     "op9_bpe_encode_decode": bpe.query,
 }
-SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op8_packing": packing.SQL}
+SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op3_warc": warc.SQL, "op8_packing": packing.SQL}
