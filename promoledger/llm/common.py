@@ -21,6 +21,11 @@ def fold(column: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def hash_share(*columns: str) -> Column:
+    """A number from 0 to 1 that the values fix and that is spread evenly over different values."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) / F.lit(1 << 40)
+
+
 def spread_lookup(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join whose left side may have hot keys: ``small`` has one row a key and is repeated once per salt.
 

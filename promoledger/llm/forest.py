@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promoledger.llm.common import matrix, sorted_groups, spread_lookup, table, usable_vector
+from promoledger.llm.common import hash_share, matrix, sorted_groups, spread_lookup, table, usable_vector
 from promoledger.llm.components import connected_components
 from promoledger.session import stage
 
@@ -139,7 +139,7 @@ def leaves(values: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float
     model = {}
     if levels:
         sizes = values.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
-        drawn = values.join(sizes, "size").where(F.pmod(F.hash("id", F.lit(1)), F.lit(1 << 30)) / F.lit(1 << 30) < FIRST_SAMPLE / F.col("n"))
+        drawn = values.join(sizes, "size").where(hash_share("id") < FIRST_SAMPLE / F.col("n"))
         spread = drawn.select("size", "vector", F.lit(1).cast("long").alias("node"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
         fitted = spread.groupBy("tree", "size", "node").applyInPandas(partial(_fit_node, turn=0, levels=levels, spill=spill), _SPLITS)
         # At most trees * 2 ** FIRST_LEVELS split points for each vector length.
@@ -156,7 +156,7 @@ def leaves(values: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float
         small = rows.join(large, keys, "left_anti")
         done = small if done is None else done.unionByName(small)
         hot = rows.join(large, keys)
-        drawn = hot.where(F.pmod(F.hash("id", F.lit(turn)), F.lit(1 << 30)) / F.lit(1 << 30) < MORE_SAMPLE / F.col("n"))
+        drawn = hot.where(hash_share("id") < MORE_SAMPLE / F.col("n"))
         fitted = drawn.groupBy(*keys).applyInPandas(partial(_fit_node, turn=turn, levels=MORE_LEVELS, spill=spill), _SPLITS)
         splits, _ = stage(fitted, "forest-splits")
         split = hot.join(splits, keys).mapInArrow(partial(_later_round, turn=turn, levels=MORE_LEVELS), schema)

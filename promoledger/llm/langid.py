@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from promoledger.llm.common import fold, table, with_outputs
+from promoledger.llm.common import fold, hash_share, table, with_outputs
+from promoledger.session import stage
 
 #: Length of a profile.
 TOP = 300
-#: Bound of the fitting sample: so many documents of each language, those of smallest id hash.
+#: Bound of the fitting sample: so many documents of each language are expected in it.
 SAMPLE_PER_LANGUAGE = 4_000
 UNKNOWN = "und"
 _PIECE = 1 << 20
@@ -96,19 +97,18 @@ def _count_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, top: int = TOP) -> dict[str, np.ndarray]:
-    """Profile of each language, from at most ``per_language`` documents each (those of smallest id hash).
+    """Profile of each language, from about ``per_language`` documents each at most.
 
-    The ids are ranked first, in the scan's own partitions and then by language,
-    so only the sample's texts move. What comes back is ``top`` codes a language.
+    A document is in the sample if its id's hash falls below its language's share,
+    so no ranking is needed and no language's rows meet in one task. What comes
+    back is ``top`` codes a language.
     """
-    order = F.xxhash64("id")
-    ids = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(order, "id"))
-    sample = ids.withColumn("place", place).where(F.col("place") <= per_language).select("id", "lang").distinct()
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
-    )
-    counted = rows.join(sample, ["id", "lang"]).select("lang", "text").mapInPandas(_count_partition, "lang string, gram long, n long")
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    # Written, so that Spark knows how small this is and needs no shuffle of texts.
+    sizes, _ = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    sample = rows.join(sizes, "lang").where(hash_share("id") < F.lit(per_language) / F.col("rows"))
+    counted = sample.select("lang", "text").mapInPandas(_count_partition, "lang string, gram long, n long")
     totals = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     profiles = totals.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)

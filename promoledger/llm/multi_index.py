@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from promoledger.llm.common import matrix, sorted_groups, table, usable_vector
+from promoledger.llm.common import hash_share, matrix, sorted_groups, table, usable_vector
 from promoledger.session import stage
 
 NEAREST = 20
@@ -193,7 +193,7 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
     entries = named.withColumn("id", F.col("ids")[0]).join(one.dropDuplicates(["id"]), ["id", "p", "q"]).select("id", "ids", "vector")
     entries, _ = stage(entries, "index-entries")
     count = entries.count()
-    drawn = entries.where(F.pmod(F.hash("id", F.lit(3)), F.lit(1 << 30)) / F.lit(1 << 30) < SAMPLE / max(1, count))
+    drawn = entries.where(hash_share("id") < SAMPLE / max(1, count))
     halves = drawn.select("id", "vector", F.explode(F.array(F.lit(0), F.lit(1))).alias("half"))
     fitted = halves.groupBy("half").applyInPandas(partial(_fit_half, centroids=centroids_for(count)), "half int, number int, centre array<double>")
     centres = fitted.toPandas().sort_values(["half", "number"])

@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promoledger.llm.common import fold, table, text_groups, with_outputs
+from promoledger.llm.common import fold, hash_share, table, text_groups, with_outputs
 
 #: Weights: 2 to this power.
 BITS = 18
-#: Bound of the fitting sample, in labelled documents (those of smallest id hash).
+#: Bound of the fitting sample: so many labelled documents are expected in it.
 SAMPLE_ROWS = 16_384
 EPOCHS = 3
 THRESHOLD = 0.3
@@ -159,15 +159,16 @@ def ftrl(alpha: float = 3.0, beta: float = 0.1, l1: float = 0.02, l2: float = 0.
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """Weights and bias from the ``sample_rows`` labelled documents whose id hash is smallest.
+    """Weights and bias from about ``sample_rows`` labelled documents at most.
 
-    Only ids and labels are ranked; the texts of the sample are joined to that
-    bounded list, turned into features where they lie, and passed ``epochs``
-    times, in order, to one task that keeps the weights and one batch.
+    A label is in the sample if its id's hash falls below a share that the number
+    of labels sets. The texts of the sample are joined to that bounded list, turned
+    into features where they lie, and passed ``epochs`` times, in order, to one
+    task that keeps the weights and one batch.
     """
     usable = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
     order = F.xxhash64("id")
-    sample = usable.orderBy(order, "id", "label").limit(sample_rows)
+    sample = usable.where(hash_share("id") < sample_rows / max(1, usable.count()))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
     vectors = rows.select(order.alias("position"), "label", "text").mapInArrow(_sparse, "position long, label int, index array<int>, value array<float>")
     passes = vectors.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
