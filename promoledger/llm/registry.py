@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from promoledger.llm import bpe, forest, langid, line_dedup, multi_index, packing, quality, simhash, warc
+from promoledger.llm import bpe, forest, html_text, langid, line_dedup, multi_index, packing, quality, simhash, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -14,5 +14,6 @@ QUERIES = {
     "op7_nearest_neighbours": multi_index.query,
     "op8_packing": packing.query,
     "op9_bpe_encode_decode": bpe.query,
+    "op10_html_extraction": html_text.query,
 }
 SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op3_warc": warc.SQL, "op8_packing": packing.SQL}
