@@ -4,7 +4,8 @@ A text is cut into words by the vocabulary's pattern. Per word an array of part
 boundaries and one of the ranks of adjacent parts are kept; the least rank is
 searched, the boundary it names deleted, and the two neighbouring ranks looked up
 anew, until no pair has a rank. Long words use the same merges with a heap, since
-scanning is quadratic. A task remembers the words it has met.
+scanning is quadratic. A task remembers what it has met between
+spaces.
 
 Cases: null and empty texts have no ids; the vocabulary's special tokens in a
 text become their own id; the whole text is encoded however long; repeated rows
@@ -14,6 +15,7 @@ give repeated results; an input column called like an output column is replaced.
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -28,8 +30,12 @@ from promoledger.llm.common import table, with_outputs
 VOCABULARY = "byte_bpe_50k.json"
 #: Words up to so many bytes are scanned; above, a heap finds the least rank.
 SHORT = 128
-#: Words remembered by a task before it forgets and starts anew.
-REMEMBERED = 400_000
+#: Pieces of text remembered by a task before it forgets and starts anew.
+REMEMBERED = 300_000
+#: Texts that are Python objects at a time.
+_ROWS = 500
+#: Ids spelled out at a time.
+_IDS = 1 << 17
 # Fixed value: the pattern that cuts a text into words, as the vocabulary defines it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -41,8 +47,8 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def load_vocabulary(path: str) -> tuple[dict[bytes, int], dict[tuple[int, int], tuple[int, int]], dict[str, int], list[bytes]]:
-    """Ids of single bytes, (left, right) to (rank, merged id), special tokens, and the bytes of every id."""
+def load_vocabulary(path: str) -> tuple[list[int], dict[tuple[int, int], int], dict[str, int], list[bytes]]:
+    """Ids of single bytes, (left, right) to rank and merged id in one number, special tokens, and the bytes of every id."""
     import json
 
     with open(path, encoding="utf-8") as file:
@@ -53,108 +59,119 @@ def load_vocabulary(path: str) -> tuple[dict[bytes, int], dict[tuple[int, int],
     pairs = {}
     for rank, pair in enumerate(content["model"]["merges"]):
         left, right = pair if isinstance(pair, list) else pair.split(" ")
-        pairs[vocabulary[left], vocabulary[right]] = (rank, vocabulary[left + right])
+        pairs[vocabulary[left], vocabulary[right]] = rank << _ID_BITS | vocabulary[left + right]
     special = {t["content"]: t["id"] for t in content["added_tokens"]}
     pieces = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
     for token, number in vocabulary.items():
         pieces[number] = own(token)
     for token, number in special.items():
         pieces[number] = token.encode()
-    return {bytes([b]): vocabulary[c] for c, b in back.items()}, pairs, special, pieces
+    letters = {b: vocabulary[c] for c, b in back.items()}
+    return [letters[b] for b in range(256)], pairs, special, pieces
 
 
-NO_RANK = 1 << 30
+#: A pair's rank above this many bits of the id it merges to.
+_ID_BITS = 24
+_ID = (1 << _ID_BITS) - 1
+NO_RANK = 1 << 60
 
 
-def merge_short(ids: list[int], pairs: dict) -> list[int]:
+def merge_short(ids: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
     """Merge by scanning the contiguous rank array for its minimum (the leftmost of equal ones)."""
-    ids = list(ids)
-    none = (NO_RANK, -1)
-    ranks = [pairs.get(p, none)[0] for p in zip(ids, ids[1:])]
+    ids, get = list(ids), pairs.get
+    ranks = [get(p, NO_RANK) for p in zip(ids, ids[1:])]
     while ranks:
         least = min(ranks)
         if least == NO_RANK:
             break
         i = ranks.index(least)
-        ids[i] = pairs[ids[i], ids[i + 1]][1]
+        ids[i] = least & _ID
         del ids[i + 1], ranks[i]
         if i < len(ranks):
-            ranks[i] = pairs.get((ids[i], ids[i + 1]), none)[0]
+            ranks[i] = get((ids[i], ids[i + 1]), NO_RANK)
         if i:
-            ranks[i - 1] = pairs.get((ids[i - 1], ids[i]), none)[0]
+            ranks[i - 1] = get((ids[i - 1], ids[i]), NO_RANK)
     return ids
 
 
-def merge_long(ids: list[int], pairs: dict) -> list[int]:
+def merge_long(ids: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
     """The same merges with a heap and linked neighbours, for words beyond ``SHORT`` bytes."""
     ids, count = list(ids), len(ids)
     after, before = list(range(1, count + 1)), list(range(-1, count - 1))
-    heap = [(pairs[p][0], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]
+    heap = [(pairs[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]
     heapq.heapify(heap)
 
     def offer(i: int) -> None:
-        if i >= 0 and after[i] < count and (found := pairs.get((ids[i], ids[after[i]]))):
-            heapq.heappush(heap, (found[0], i, ids[i], ids[after[i]]))
+        if i >= 0 and after[i] < count and (found := pairs.get((ids[i], ids[after[i]]))) is not None:
+            heapq.heappush(heap, (found, i, ids[i], ids[after[i]]))
 
     while heap:
-        _, i, left, right = heapq.heappop(heap)
+        rank, i, left, right = heapq.heappop(heap)
         j = after[i]
         if ids[i] != left or j >= count or ids[j] != right:
             continue
-        ids[i], ids[j], after[i] = pairs[left, right][1], -1, after[j]
+        ids[i], ids[j], after[i] = rank & _ID, -1, after[j]
         if after[j] < count:
             before[after[j]] = i
         offer(i), offer(before[i])
     return [number for number in ids if number >= 0]
 
 
+class Pieces(dict):
+    """What stands between two spaces, with the space before it, to its ids as bytes; forgets when it is full."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.encode(" " + piece)
+        if len(piece) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
-    """Turns texts into ids with one vocabulary; remembers words."""
+    """Turns texts into ids with one vocabulary; remembers pieces."""
 
     def __init__(self, path: str, pattern: str = PATTERN):
         import regex
 
-        self.bytes, self.pairs, self.special, self.pieces = load_vocabulary(path)
+        self.bytes, self.pairs, self.special, _ = load_vocabulary(path)
         self.words = regex.compile(pattern).findall
+        # Where white space runs over a space, cutting at spaces would cut a word of the pattern.
+        self.runs = regex.compile(r"\s \s|\s \Z").search
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
-        self.known: dict[str, list[int]] = {}
+        self.known = Pieces(self.by_words)
 
     def word(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "replace")
-        ids = [self.bytes[raw[i : i + 1]] for i in range(len(raw))]
-        ids = (merge_short if len(raw) <= SHORT else merge_long)(ids, self.pairs)
-        if len(raw) <= SHORT:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = ids
-        return ids
+        return (merge_short if len(raw) <= SHORT else merge_long)([self.bytes[b] for b in raw], self.pairs)
+
+    def by_words(self, text: str) -> bytes:
+        return array("i", [number for word in self.words(text) for number in self.word(word)]).tobytes()
 
-    def plain(self, text: str, out: list[int]) -> None:
-        known = self.known
-        for word in self.words(text):
-            ids = known.get(word)
-            out.extend(ids if ids is not None else self.word(word))
+    def plain(self, text: str) -> bytes:
+        if self.runs(text):
+            return self.by_words(text)
+        first, *rest = text.split(" ")
+        return self.by_words(first) + b"".join(map(self.known.__getitem__, rest))
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def encode(self, text: str) -> np.ndarray:
         parts = self.cut(text) if self.cut and any(s in text for s in self.special) else [text]
-        for part in parts:
-            if part in self.special:
-                out.append(self.special[part])
-            elif part:
-                self.plain(part, out)
-        return out
+        ids = [array("i", [self.special[p]]).tobytes() if p in self.special else self.plain(p) for p in parts if p]
+        return np.frombuffer(b"".join(ids), np.int32)
 
 
 def _encode_batches(columns: Iterator[pa.Array], path: str, pattern: str) -> Iterator[pa.Array]:
     encoder = Encoder(path, pattern)
     for column in columns:
-        lengths, found = [0], []
-        for text in column.to_pylist():
-            ids = encoder.encode(text) if text else []
-            found.append(np.array(ids, np.int32))
-            lengths.append(lengths[-1] + len(ids))
-        yield pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
+        found = []
+        for at in range(0, len(column), _ROWS):
+            found.extend(encoder.encode(text or "") for text in column.slice(at, _ROWS).to_pylist())
+        lengths = np.cumsum([0, *map(len, found)])
+        yield pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", pattern: str = PATTERN) -> DataFrame:
@@ -175,15 +192,23 @@ def _decode_batches(columns: Iterator[pa.Array], path: str) -> Iterator[pa.Array
     sizes = np.array([len(p) for p in pieces], np.int64)
     begins = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     letters = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def spelled(ids: np.ndarray) -> bytes:
+        size = sizes[ids]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(begins[ids] - (ends - size), size)
+        return letters[at].tobytes()
+
     for column in columns:
-        texts = []
-        for row in column:
-            ids = row.values.to_numpy() if row.is_valid else np.zeros(0, np.int32)
-            size = sizes[ids]
-            ends = np.cumsum(size)
-            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[ids] - (ends - size), size)
-            texts.append(letters[at].tobytes().decode("utf-8", "replace"))
-        yield pa.array(texts, pa.string())
+        parts = []
+        for first in range(0, len(column), _ROWS):
+            texts = []
+            for row in column.slice(first, _ROWS):
+                ids = row.values.to_numpy() if row.is_valid else np.zeros(0, np.int32)
+                raw = b"".join(spelled(ids[at : at + _IDS]) for at in range(0, len(ids), _IDS))
+                texts.append(raw.decode("utf-8", "replace"))
+            parts.append(pa.array(texts, pa.string()))
+        yield pa.chunked_array(parts, pa.string()).combine_chunks()
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
