@@ -29,6 +29,8 @@ BITS = 18
 SAMPLE_ROWS = 16_384
 EPOCHS = 3
 THRESHOLD = 0.3
+#: Bytes of text, about, that numpy works on at a time; a longer text is cut into words in segments.
+_GROUP = 1 << 18
 _SEGMENT = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -112,17 +114,17 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sparse feature vectors of the sampled documents."""
     tools = make_tools()
     for batch in batches:
-        index, value = [], []
-        for low, high, data, offsets in text_groups(batch.column("text")):
+        for low, high, data, offsets in text_groups(batch.column("text"), _GROUP):
             numbers, begins = features(data, offsets, tools)
+            index, value = [], []
             for i in range(high - low):
                 found, count = np.unique(numbers[begins[i] : begins[i + 1]], return_counts=True)
                 index.append(found.astype(np.int32))
                 value.append((count / max(1, count.sum())).astype(np.float32))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("position"), batch.column("label"), pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))],
-            ["position", "label", "index", "value"],
-        )
+            ends = pa.array(np.cumsum([0, *map(len, index)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (index, value)]
+            rows = batch.slice(low, high - low)
+            yield pa.RecordBatch.from_arrays([rows.column("position"), rows.column("label"), *lists], ["position", "label", "index", "value"])
 
 
 def ftrl(alpha: float = 3.0, beta: float = 0.1, l1: float = 0.02, l2: float = 0.0):
@@ -190,7 +192,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
         tools = make_tools()
         for column in texts:
             scores = np.full(len(column), bias)
-            for low, high, data, offsets in text_groups(column):
+            for low, high, data, offsets in text_groups(column, _GROUP):
                 numbers, begins = features(data, offsets, tools)
                 sums = np.concatenate([[0.0], np.cumsum(weights[numbers], dtype=np.float64)])
                 total = np.maximum(1, np.diff(begins))
