@@ -41,24 +41,24 @@ def letter_table() -> np.ndarray:
 
 
 def gram_counts(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and counts of a text's 1- to 3-grams; 21 bits a letter, so no two n-grams share a code.
+    """Codes and counts of a text's 1- to 3-grams; 21 bits a letter, a border being 1, so no two n-grams share a code.
 
     Long texts are counted in pieces that overlap by two letters.
     """
     points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    kept = letters[points]
-    code = np.where(kept, points, 0).astype(np.int64)
-    code = np.concatenate([[0], code, [0]])
-    code = code[np.concatenate([[True], (code[1:] != 0) | (code[:-1] != 0)])]
+    code = np.concatenate([[1], np.where(letters[points], points, 1), [1]]).astype(np.int64)
+    code = code[np.concatenate([[True], (code[1:] != 1) | (code[:-1] != 1)])]
     if len(code) < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     found, counts = [], []
     for at in range(0, len(code) - 2, _PIECE):
-        a, b, c = code[at : at + _PIECE], code[at + 1 : at + 1 + _PIECE], code[at + 2 : at + 2 + _PIECE]
-        a, b = a[: len(c)], b[: len(c)]
-        pairs, triples = (a << 21) | b, ((a << 42) | (b << 21)) | c
-        grams = np.concatenate([b[b != 0], pairs, triples[b != 0]])
-        one, number = np.unique(grams, return_counts=True)
+        c = code[at + 2 : at + 2 + _PIECE]
+        a, b = code[at : at + len(c)], code[at + 1 : at + 1 + len(c)]
+        pairs = (a << 21) | b
+        grams = [b[b != 1], pairs, ((pairs << 21) | c)[b != 1]]
+        if at + _PIECE >= len(code) - 2:
+            grams.append((code[-2:-1] << 21) | code[-1:])
+        one, number = np.unique(np.concatenate(grams), return_counts=True)
         found.append(one), counts.append(number)
     if len(found) == 1:
         return found[0], counts[0]

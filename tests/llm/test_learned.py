@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from promoledger.llm import langid, quality
+from promoledger.llm.common import table
+from tests.llm.data import edge_docs, empty_docs
+
+MIDDLE = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def middle(spark):
+    return table(spark, MIDDLE, "documents").select("doc_id", "text", "lang").cache()
+
+
+def test_quality_held_out(spark):
+    found = quality.query(spark, MIDDLE).join(table(spark, MIDDLE, "labels"), "doc_id").toPandas()
+    held = found[found.held_out]
+    assert len(held) > 300 and (held.predicted == held.quality).mean() > 0.97
+    assert held[held.quality == 1].predicted.mean() > 0.99
+    assert found.score.between(0, 1).all()
+
+
+def test_quality_needs_no_label_of_the_held_out_fold(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.001", "documents"), table(spark, "/root/testdata/sf0.001", "labels")
+    a, b = quality.fit(docs, labels.where(quality.fold("doc_id", 5) != 0)), quality.fit(docs, labels.where(quality.fold("doc_id", 5) != 0).repartition(5))
+    assert np.array_equal(a[0], b[0]) and a[1] == b[1]
+
+
+def test_features_do_not_depend_on_the_run_of_texts():
+    import pyarrow as pa
+
+    texts = ["A b c!", "", None, "x" * 50, "Été été 12 WORD!!", " \n", "a b " * 400_000]
+    tools = quality.make_tools()
+    column = pa.array(texts)
+    alone = []
+    for text in texts:
+        [(_, _, data, offsets)] = list(quality.text_groups(pa.array([text], pa.string())))
+        alone.append(quality.features(data, offsets, tools)[0].tolist())
+    together = []
+    for low, high, data, offsets in quality.text_groups(column):
+        numbers, begins = quality.features(data, offsets, tools)
+        together += [numbers[begins[i] : begins[i + 1]].tolist() for i in range(high - low)]
+    assert together == alone and together[1] == together[2] == together[5] == []
+    # Each word gives three features; marks are words of their own.
+    assert len(together[0]) == 3 * 4
+
+
+def test_quality_edges(spark):
+    docs = edge_docs(spark)
+    labels = spark.createDataFrame([(1, 1), (4, 0), (4, None), (None, 1), (8, 0), (99, 1), (2, 7)], "doc_id long, quality int")
+    scored = quality.score(docs, quality.fit(docs, labels)).collect()
+    assert len(scored) == docs.count() and all(0 <= r["score"] <= 1 for r in scored)
+    by_id = {r["doc_id"]: r["score"] for r in scored}
+    assert by_id[3] == by_id[4] == by_id[5] and by_id[1] == by_id[2]
+    none = quality.fit(docs, labels.limit(0))
+    assert {r["score"] for r in quality.score(docs, none).collect()} == {0.5}
+    assert quality.score(empty_docs(spark), none).count() == 0
+
+
+def test_ftrl_equals_a_plain_version():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    rows = [(int(rng.integers(2)), np.sort(rng.choice(50, 5, replace=False)).astype(np.int32), rng.random(5).astype(np.float32)) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])], ["label", "index", "value"])
+    [out] = list(quality.ftrl(alpha=0.5, beta=1.0, l1=0.1, l2=0.2)(iter([batch])))
+    z, n = Counter(), Counter()
+    weight = lambda i: 0.0 if abs(z[i]) <= 0.1 else -(z[i] - np.sign(z[i]) * 0.1) / ((1.0 + n[i] ** 0.5) / 0.5 + 0.2)
+    for label, index, value in rows:
+        x = {**{int(i): float(v) for i, v in zip(index, value, strict=True)}, -1: 0.1}
+        w = {i: weight(i) for i in x}
+        p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x.items())))
+        for i, v in x.items():
+            g = (p - label) * v
+            z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / 0.5 * w[i]
+            n[i] += g * g
+    found = dict(zip(out.column("index").to_pylist(), out.column("weight").to_pylist(), strict=True))
+    want = {i: weight(i) * (0.1 if i == -1 else 1) for i in z if weight(i) or i == -1}
+    assert set(found) == set(want) and all(abs(found[i] - want[i]) < 1e-9 for i in want)
+
+
+def test_language_held_out(spark):
+    found = langid.query(spark, MIDDLE).join(table(spark, MIDDLE, "documents").select("doc_id", "lang"), "doc_id").toPandas()
+    held = found[found.held_out]
+    assert (held.lang_pred == held.lang).mean() > 0.99 and found.score.between(0, 1).all()
+
+
+def plain_profile(text, top):
+    counts = Counter()
+    for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+        padded = " " + word + " "
+        counts.update(word)
+        counts.update(padded[i : i + 2] for i in range(len(padded) - 1))
+        counts.update(padded[i : i + 3] for i in range(len(padded) - 2))
+    code = lambda gram: sum((1 if c == " " else ord(c)) << (21 * (len(gram) - 1 - i)) for i, c in enumerate(gram))
+    return sorted(((code(g), n) for g, n in counts.items()), key=lambda x: (-x[1], x[0]))[:top]
+
+
+def test_profile_equals_a_plain_version():
+    letters = langid.letter_table()
+    for text in ("The cat, the CAT!", "été ßtraße 漢字", "a", "ab cd  ef\n\ngh " * 30):
+        codes, counts = langid.gram_counts(text, letters)
+        best = langid.ranked(codes, counts, 20)
+        assert best.tolist() == [g for g, _ in plain_profile(text, 20)]
+    known = langid.Profiles({"x": np.array([5, 6, 7]), "y": np.array([7, 9])}, top=10)
+    assert known.distances(np.array([7, 5, 8])).tolist() == [2 + 1 + 10, 0 + 10 + 10]
+
+
+def test_pieces_of_long_texts_add_up(monkeypatch):
+    letters = langid.letter_table()
+    text = "the quick brown fox " * 50
+    whole = langid.gram_counts(text, letters)
+    monkeypatch.setattr(langid, "_PIECE", 37)
+    parts = langid.gram_counts(text, letters)
+    assert np.array_equal(whole[0], parts[0]) and np.array_equal(whole[1], parts[1])
+
+
+def test_language_edges(spark, middle):
+    docs = edge_docs(spark)
+    profiles = langid.fit(middle)
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(docs, profiles).where(F.col("doc_id").isNotNull()).collect()}
+    assert all(found[i] == ("und", 0.0) for i in (3, 4, 5, 7, 8)) and found[1][0] == "en" and found[1] == found[2]
+    assert langid.identify(docs, profiles).count() == docs.count()
+    assert {r["lang_pred"] for r in langid.identify(docs, {}).collect()} == {"und"}
+    assert langid.fit(empty_docs(spark)) == {} and langid.identify(empty_docs(spark), profiles).count() == 0
