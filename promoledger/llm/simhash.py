@@ -97,7 +97,8 @@ def star_links(values: np.ndarray, most: int = MOST_BITS) -> list[tuple[int, int
     while len(left) > 1:
         root, waiting, left = left[0], [left[0]], left[1:]
         while waiting and len(left):
-            near = np.bitwise_count(left ^ waiting.pop()) <= most
+            # Counted without sign: of a negative number, bitwise_count takes the magnitude.
+            near = np.bitwise_count((left ^ waiting.pop()).view(np.uint64)) <= most
             if near.any():
                 reached = left[near]
                 left = left[~near]
