@@ -16,24 +16,25 @@ from __future__ import annotations
 
 import heapq
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from promoledger.llm.common import table, with_outputs
+from promoledger.llm.common import table
 
 #: The vocabulary of the query; the path is a parameter everywhere else.
 VOCABULARY = "byte_bpe_50k.json"
 #: Words up to so many bytes are scanned; above, a heap finds the least rank.
 SHORT = 128
 #: Pieces of text remembered by a task before it forgets and starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Texts that are Python objects at a time.
-_ROWS = 500
+_ROWS = 250
 #: Ids spelled out at a time.
 _IDS = 1 << 17
 # Fixed value: the pattern that cuts a text into words, as the vocabulary defines it.
@@ -164,30 +165,35 @@ class Encoder:
         return np.frombuffer(b"".join(ids), np.int32)
 
 
-def _encode_batches(columns: Iterator[pa.Array], path: str, pattern: str) -> Iterator[pa.Array]:
-    encoder = Encoder(path, pattern)
-    for column in columns:
-        found = []
-        for at in range(0, len(column), _ROWS):
-            found.extend(encoder.encode(text or "") for text in column.slice(at, _ROWS).to_pylist())
-        lengths = np.cumsum([0, *map(len, found)])
-        yield pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
+def _slices(batches: Iterator[pa.RecordBatch], left_out: Sequence[str]) -> Iterator[tuple[pa.RecordBatch, list[str], list[pa.Array]]]:
+    """Short runs of rows, with the columns that stay: results are handed over before the next run is touched."""
+    for batch in batches:
+        kept = [n for n in batch.schema.names if n.lower() not in left_out]
+        for at in range(0, batch.num_rows, _ROWS):
+            rows = batch.slice(at, _ROWS)
+            yield rows, kept, [rows.column(n) for n in kept]
+
 
+def _encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, text_col: str, out: str, left_out: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(path, pattern)
+    for rows, names, columns in _slices(batches, left_out):
+        found = [encoder.encode(text or "") for text in rows.column(text_col).to_pylist()]
+        ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+        yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found)))], [*names, out])
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", pattern: str = PATTERN) -> DataFrame:
-    """``docs`` with the ids of each whole text; ``path`` is a file every executor has."""
-    ids = F.arrow_udf(_typed(partial(_encode_batches, path=path, pattern=pattern)), "array<int>")
-    return docs.select(*with_outputs(docs, [out]), ids(F.col(text_col)).alias(out))
 
+def _schema(docs: DataFrame, left_out: Sequence[str], out: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([f for f in docs.schema.fields if f.name.lower() not in left_out] + [T.StructField(out, kind)])
 
-def _typed(batches):
-    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        return batches(columns)
 
-    return run
+def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", pattern: str = PATTERN, drop: Sequence[str] = ()) -> DataFrame:
+    """``docs`` with the ids of each whole text, without the columns ``drop``; ``path`` is a file every executor has."""
+    left_out = [c.lower() for c in (out, *drop)]
+    run = partial(_encode_batches, path=path, pattern=pattern, text_col=text_col, out=out, left_out=left_out)
+    return docs.mapInArrow(run, _schema(docs, left_out, out, T.ArrayType(T.IntegerType())))
 
 
-def _decode_batches(columns: Iterator[pa.Array], path: str) -> Iterator[pa.Array]:
+def _decode_batches(batches: Iterator[pa.RecordBatch], path: str, ids_col: str, out: str, left_out: Sequence[str]) -> Iterator[pa.RecordBatch]:
     pieces = load_vocabulary(path)[3]
     sizes = np.array([len(p) for p in pieces], np.int64)
     begins = np.concatenate([[0], np.cumsum(sizes)])[:-1]
@@ -199,22 +205,19 @@ def _decode_batches(columns: Iterator[pa.Array], path: str) -> Iterator[pa.Array
         at = np.arange(ends[-1]) + np.repeat(begins[ids] - (ends - size), size)
         return letters[at].tobytes()
 
-    for column in columns:
-        parts = []
-        for first in range(0, len(column), _ROWS):
-            texts = []
-            for row in column.slice(first, _ROWS):
-                ids = row.values.to_numpy() if row.is_valid else np.zeros(0, np.int32)
-                raw = b"".join(spelled(ids[at : at + _IDS]) for at in range(0, len(ids), _IDS))
-                texts.append(raw.decode("utf-8", "replace"))
-            parts.append(pa.array(texts, pa.string()))
-        yield pa.chunked_array(parts, pa.string()).combine_chunks()
+    def text(ids: np.ndarray) -> str:
+        raw = b"".join(spelled(ids[at : at + _IDS]) for at in range(0, len(ids), _IDS))
+        return raw.decode("utf-8", "replace")
+
+    none = np.zeros(0, np.int32)
+    for rows, names, columns in _slices(batches, left_out):
+        texts = [text(row.values.to_numpy() if row.is_valid else none) for row in rows.column(ids_col)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*names, out])
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the text that the ids stand for; bytes that are no UTF-8 become U+FFFD."""
-    text = F.arrow_udf(_typed(partial(_decode_batches, path=path)), "string")
-    return docs.select(*with_outputs(docs, [out]), text(F.col(ids_col)).alias(out))
+    return docs.mapInArrow(partial(_decode_batches, path=path, ids_col=ids_col, out=out, left_out=[out.lower()]), _schema(docs, [out.lower()], out, T.StringType()))
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -226,7 +229,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 def query(spark, sf_dir: str) -> DataFrame:
     """op9: digests of the ids and of the text decoded from them, for every document."""
     path = vocabulary_path()
-    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
+    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, drop=("text",))
     both = decode(encoded, path)
     return both.select(
         "doc_id",
