@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promoledger.llm.common import spread_lookup, table
-from promoledger.session import new_work_path
+from promoledger.session import new_work_path, stage
 
 #: Payloads of fewer bytes are never revisits.
 LEAST_REVISIT = 100
@@ -69,7 +69,8 @@ def with_revisits(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload").cast("long"))
     large = rows.where(F.col("size") >= least)
     repeated = large.groupBy("digest").agg(F.min("id").alias("origin"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    found = spread_lookup(rows, repeated, ["digest"])
+    # Written, so that Spark knows its size: while it is small, payloads are not shuffled for it.
+    found = spread_lookup(rows, stage(repeated, "repeated-payloads")[0], ["digest"])
     return found.select("id", "url", "payload", "digest", "size", "origin")
 
 
