@@ -11,6 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from promoledger import session
 
 _HASH = "__hash"
 
@@ -27,10 +30,39 @@ def spread_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     left, left_semi and left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    key_hash = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    kinds = {k: _compared_type(left.schema[k].dataType, right.schema[k].dataType, k) for k in keys}
+    key_hash = F.xxhash64(*[F.col(f"`{k}`").cast(kinds[k]) for k in keys])
     return left.withColumn(_HASH, key_hash).join(right.withColumn(_HASH, key_hash), [*keys, _HASH], how).drop(_HASH)
 
 
+_WIDTH = {t: i for i, t in enumerate((T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType))}
+
+
+def _compared_type(a: T.DataType, b: T.DataType, key: str) -> T.DataType:
+    """The type in which Spark compares the two sides of a join key; the hash is taken in it.
+
+    Equal types stay, of two plain numbers the wider counts (an integer beside a
+    float is a double), text beside another type is read as that type, a date
+    beside a timestamp is a timestamp. Other pairs are refused: a hash of unlike
+    types would lose matches without a word.
+    """
+    if a == b:
+        return a
+    if type(a) in _WIDTH and type(b) in _WIDTH:
+        wider = max(a, b, key=lambda t: _WIDTH[type(t)])
+        return T.DoubleType() if isinstance(wider, T.FloatType) else wider
+    if isinstance(a, T.StringType) or isinstance(b, T.StringType):
+        other = b if isinstance(a, T.StringType) else a
+        # Text beside an integer is read as a long, beside a fraction as a double.
+        if type(other) in _WIDTH:
+            return T.LongType() if _WIDTH[type(other)] <= _WIDTH[T.LongType] else T.DoubleType()
+        if isinstance(other, (T.DateType, T.TimestampType, T.BooleanType)):
+            return other
+    if {type(a), type(b)} == {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    raise TypeError(f"join key {key} is {a.simpleString()} on the left and {b.simpleString()} on the right; cast one of them")
+
+
 def null_safe_semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left-semi join that lets null keys match each other."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys])
@@ -65,46 +97,31 @@ def newest_rows_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataF
     return null_safe_semi(df, newest, [*keys, order])
 
 
-def dense_code(df: DataFrame, column: str, code: str, prefix: int = 2) -> DataFrame:
+def dense_code(df: DataFrame, column: str, code: str) -> DataFrame:
     """Number the distinct values of ``column`` 1, 2, 3 … in sort order, without one global sort.
 
-    Values are numbered inside groups that share their first characters, and each
-    group starts after the sizes of the groups before it. Only the list of group
-    sizes is ordered as a whole.
+    Values are dealt by range, numbered inside their range, and each range starts
+    after the sizes of those before it. The dealt values are written first, since
+    both steps have to see the same ranges; only their sizes, one a partition, are
+    ordered as a whole.
     """
-    values = df.select(column).distinct().withColumn("__p", F.substring(F.col(column), 1, prefix))
+    dealt = df.select(column).distinct().repartitionByRange(F.col(column)).withColumn("__p", F.spark_partition_id())
+    values, _ = session.stage(dealt, "ranges")
     inside = values.withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy(column)))
     sizes = values.groupBy("__p").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__p", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
-    numbered = inside.join(starts, inside["__p"].eqNullSafe(starts["__p"]))
-    return numbered.select(column, (F.col("__start") + F.col("__n")).cast("int").alias(code))
-
-
-def bounded_list(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> Column:
-    """The rows of a small code list as one array value (a scalar subquery), its size checked in the plan.
-
-    Meant for code lists whose numbering scheme breaks down beyond a handful of
-    members. A longer list stops the job; no member is ever dropped.
-    """
-    entries = df.agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("entries"))
-    checked = entries.select(
-        F.when(F.size("entries") <= limit, F.col("entries")).otherwise(
-            F.raise_error(F.lit(f"code list over {columns} has more than {limit} members"))
-        )
-    )
-    return checked.scalar()
+    return inside.join(starts, "__p").select(column, (F.col("__start") + F.col("__n")).cast("int").alias(code))
 
 
 def band(df: DataFrame, value: str, bands: DataFrame, code: str = "ref_code", out: str = "band_code") -> DataFrame:
     """Left range lookup: the codes of all bands with ``param1 <= value <= param2``, null when none fits.
 
-    The bands ride along as one small array, so the rows are classified where
-    they are, without a nested-loop join. Bands that overlap yield one row each.
+    Only the distinct values meet the bands; Spark chooses how by the measured
+    sizes, and nothing is gathered into one row. The rows then look their value up
+    by equality. A value in several bands yields one row each.
     """
-    with_bands = df.select("*", bounded_list(bands, ["param1", "param2", code]).alias("__bands"))
-    hits = F.filter(
-        "__bands", lambda b: (F.col(value) >= b["param1"]) & (F.col(value) <= b["param2"])
-    )
-    hit = with_bands.select(*df.columns, F.explode_outer(hits).alias("__hit"))
-    return hit.withColumn(out, F.col(f"__hit.{code}")).drop("__hit")
+    limits = bands.select(F.col("param1").alias("__low"), F.col("param2").alias("__high"), F.col(code).alias(out))
+    inside = (F.col(value) >= F.col("__low")) & (F.col(value) <= F.col("__high"))
+    hits = df.select(value).where(F.col(value).isNotNull()).distinct().join(limits, inside).select(value, out)
+    return spread_join(df, hits, value).select(*df.columns, out)

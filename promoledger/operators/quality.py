@@ -13,6 +13,7 @@ from promoledger.functions import rules
 from promoledger.operators.joins import spread_join
 from promoledger.operators.promo import promotion_keys
 from promoledger.sinks.writers import write_exceptions
+from promoledger.sources import storage
 
 ERROR, STOP, REPORT = "error", "stop", "report"
 
@@ -41,14 +42,18 @@ def run_checks(checks: Iterable[CheckResult], exception_root: str | None = None)
     """
     counts: dict[str, int] = {}
     for check in checks:
-        staged, _ = session.stage(check.offenders, f"check-{check.name}")
-        counts[check.name] = staged.count()
+        staged, path = session.stage(check.offenders, f"check-{check.name}")
+        try:
+            counts[check.name] = staged.count()
+            examples = [tuple(row) for row in staged.take(3)]
+            if counts[check.name] and exception_root:
+                write_exceptions(staged, f"{exception_root}/{check.name}")
+        finally:
+            storage.delete_folder(staged.sparkSession, path)
         if not counts[check.name]:
             continue
-        if exception_root:
-            write_exceptions(staged, f"{exception_root}/{check.name}")
         if check.severity == ERROR:
-            raise CheckFailed(f"{check.name}: {counts[check.name]} offending rows")
+            raise CheckFailed(f"{check.name}: {counts[check.name]} offending rows, such as {examples}")
         if check.severity == STOP:
             raise CheckStopped(f"{check.name}: {counts[check.name]} offending rows")
     return counts
@@ -111,22 +116,24 @@ def control_total_deltas(
 ) -> DataFrame:
     """Absolute totals per key against an independent control feed, with deltas and delta percentages.
 
-    Both key columns take part in the join, and each ratio guards on its own
-    denominator. ``measures`` maps a column to the short name of its output.
-    Kept are keys whose absolute deltas add up to ``minimum`` or more.
+    Keys of either side are compared, so what only the control feed knows is
+    reported too. Each ratio guards on its own denominator: something without any
+    control is a delta of 100 percent. ``measures`` maps a column to the short name
+    of its output. Kept are keys whose absolute deltas add up to ``minimum`` or more.
     """
 
     def totals(df: DataFrame, prefix: str) -> DataFrame:
         return df.groupBy(*keys).agg(*[F.abs(F.sum(c)).alias(f"{prefix}_{n}") for c, n in measures.items()])
 
-    joined = totals(actual, "act").join(totals(control, "tgt"), list(keys), "left")
+    joined = totals(actual, "act").join(totals(control, "tgt"), list(keys), "full_outer")
     names = list(measures.values())
     act = {n: rules.zero_if_null(f"act_{n}") for n in names}
     tgt = {n: rules.zero_if_null(f"tgt_{n}") for n in names}
     out = list(keys)
     for n in names:
         delta = act[n] - tgt[n]
-        percent = F.when(tgt[n] == 0, 0.0).otherwise(F.round(F.try_divide(F.abs(delta), tgt[n]) * 100, 4))
+        none = F.when(act[n] == 0, 0.0).otherwise(100.0)
+        percent = F.when(tgt[n] == 0, none).otherwise(F.round(F.try_divide(F.abs(delta), tgt[n]) * 100, 4))
         out += [
             act[n].alias(f"act_{n}"),
             tgt[n].alias(f"tgt_{n}"),
@@ -268,10 +275,14 @@ def layer_deltas(left: DataFrame, right: DataFrame, left_name: str, right_name:
 
 
 def processed_vs_transformed(processed: DataFrame, transformed: DataFrame) -> DataFrame:
-    """Percent of the processed value the transformed layer misses or exceeds."""
+    """Percent of the processed value the transformed layer misses (or, below zero, exceeds); value from nothing is -100.
+
+    Free goods (FQ) are the exception: their value only comes to be in the transformation.
+    """
     deltas = layer_deltas(processed, transformed, "prc_promotion_value", "trn_promotion_value")
     prc, trn = F.abs("prc_promotion_value"), F.abs("trn_promotion_value")
-    return deltas.withColumn("delta_prcntg", rules.share((prc - trn) * 100, prc))
+    from_nothing = (prc == 0) & (trn != 0) & (F.col("promotion_mechanism") != "FQ")
+    return deltas.withColumn("delta_prcntg", F.when(from_nothing, -100.0).otherwise(rules.share((prc - trn) * 100, prc)))
 
 
 def breached_layers(deltas: DataFrame, threshold: float) -> DataFrame:

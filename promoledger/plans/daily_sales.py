@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promoledger import schemas
+from promoledger import schemas, session
 from promoledger.functions import keys
 from promoledger.operators.sales import conform_sales, enrich_sales
 from promoledger.sinks import tables, writers
-from promoledger.sources import readers
+from promoledger.sources import readers, storage
 
 
 @dataclass(frozen=True)
@@ -52,9 +52,20 @@ def load_history(
     country: str = "VN",
     batch_ts: Column | None = None,
 ) -> None:
-    """Backfill all periods of both layers with one partitioned write each."""
+    """Backfill the periods of a batch in both layers, one partitioned write each.
+
+    A batch holds whole days: its days replace what the layers held for them, so a
+    batch may be run again, and other batches' days stay. Lines without a date go
+    to a table of offenders beside the fact, under ``-undated``; they replace the
+    offenders of the batch before.
+    """
     conformed = conform_sales(raw, country, keys_from_invoice_date=True)
-    writers.append_partitions(conformed, paths.processed)
-    processed = spark.read.parquet(paths.processed)
-    enriched = schemas.conform(enrich_sales(processed, salesman, product, batch_ts), schemas.DAILY_SALES)
-    writers.append_partitions(enriched.filter(F.col("time_key").isNotNull()), paths.fact)
+    staged, staged_path = session.stage(conformed, "history")
+    try:
+        dated = staged.filter(F.col("time_key").isNotNull())
+        writers.overwrite_partitions(dated, paths.processed)
+        enriched = schemas.conform(enrich_sales(dated, salesman, product, batch_ts), schemas.DAILY_SALES)
+        writers.overwrite_partitions(enriched, paths.fact)
+        writers.write_small(staged.filter(F.col("time_key").isNull()), f"{paths.fact.rstrip('/')}-undated")
+    finally:
+        storage.delete_folder(spark, staged_path)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from promoledger.functions import keys
 from promoledger.operators import dims, feed, io_master
 from promoledger.session import stage
-from promoledger.sources.readers import constant_relation, read_parquet, spread_scan
+from promoledger.sources.readers import constant_relation, read_parquet
 
 CATEGORIES = [f"Category {n}" for n in range(1, 6)]
 CHANNEL_MAP = {"PROFESSIONAL": "PROFESSIONAL", "BUILDING": "BUILDING", "FURNITURE": "FURNITURE"}
@@ -41,7 +41,6 @@ DIM_PROMOTION = [
 ]
 
 
-_FACT_KEYS = {"lineitem": ("l_orderkey", "l_partkey")}
 _known_schemas: dict[str, T.StructType] = {}
 
 
@@ -50,8 +49,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     if path not in _known_schemas:
         _known_schemas[path] = spark.read.parquet(path).schema
-    df = read_parquet(spark, path, _known_schemas[path])
-    return spread_scan(df, *_FACT_KEYS[name]) if name in _FACT_KEYS else df
+    return read_parquet(spark, path, _known_schemas[path])
 
 
 _layers: dict[tuple[str, str, str], DataFrame] = {}

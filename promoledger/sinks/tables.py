@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from promoledger import session
 from promoledger.functions import keys
 from promoledger.operators import mutation
-from promoledger.sinks.writers import SALES_PARTITIONS, append_partitions, overwrite_partitions, replace_slice
+from promoledger.sinks.writers import SALES_PARTITIONS, overwrite_partitions, replace_slice
 from promoledger.sources import storage
 
+# Columns that differ between two runs of the same load.
+LOAD_TIMES = ("insert_ts", "update_ts")
+
 
 def upsert_days(
     spark: SparkSession,
@@ -32,8 +35,11 @@ def upsert_days(
     """Daily merge: a reload of ``day`` drops the newest batch of the last week, then the rows merge.
 
     Matches are searched in the partitions of today and yesterday only. Inserts
-    dated elsewhere are appended to their own partition. The table is partitioned
-    by day, so that whole folders are in or out of the merge.
+    dated elsewhere join the rows of their own partition, where rows that an
+    earlier run of the same load left (equal but for the load times) make way, so
+    that running a load again after a failure, or loading a day twice, changes
+    nothing more. All touched partitions are put in place by one write. The table is
+    partitioned by day, so that whole folders are in or out of the merge.
     """
     if "time_key" not in partition_cols:
         raise ValueError("upsert_days needs time_key among the partition columns")
@@ -46,12 +52,29 @@ def upsert_days(
         week = F.col("time_key").between(first, last)
         replace_slice(mutation.delete_latest_batch(table.filter(week), first, last), path, week, partition_cols)
         table = spark.read.schema(table.schema).parquet(path)
-    scope = F.col("time_key").isin([int(day), keys.shift_day(day, -1)])
+    scope = F.coalesce(F.col("time_key").isin([int(day), keys.shift_day(day, -1)]), F.lit(False))
     merged = mutation.upsert(table.filter(scope), source.select(*table.columns), on, keep)
     staged, staged_path = session.stage(merged, "upsert")
-    append_partitions(staged.filter(~scope), path, partition_cols)
-    overwrite_partitions(staged.filter(scope), path, partition_cols)
-    storage.delete_folder(spark, staged_path)
+    try:
+        late = staged.filter(~scope)
+        # Folders that late rows fall into: at most one entry a day.
+        folders = [row.asDict() for row in late.select(*partition_cols).distinct().toLocalIterator()]
+        touched = F.lit(False)
+        for folder in folders:
+            own = F.lit(True)
+            for name, value in folder.items():
+                own = own & F.col(name).eqNullSafe(F.lit(value))
+            touched = touched | own
+        content = staged.filter(scope)
+        if folders:
+            compared = [c for c in table.columns if c not in LOAD_TIMES]
+            old = table.filter(~scope & touched)
+            again = late.select(*[F.col(c).alias(f"__{c}") for c in compared]).distinct()
+            stays = old.join(again, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in compared], "left_anti")
+            content = content.unionByName(stays).unionByName(late)
+        replace_slice(content, path, scope | touched, partition_cols)
+    finally:
+        storage.delete_folder(spark, staged_path)
 
 
 def restate_returns_in_place(

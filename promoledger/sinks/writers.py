@@ -47,17 +47,27 @@ def replace_slice(
     # column an analysis error, which would otherwise take rows outside the scope along.
     before = spark.read.parquet(path).select(*keys).distinct().filter(scope) if storage.exists(spark, path) else None
     staged, staged_path = session.stage(df, "slice")
-    stale: list[str] = []
-    if before is not None:
-        after = staged.select(*keys).distinct()
-        stale = [
-            "/".join([path.rstrip("/"), *[f"{k}={row[k]}" for k in keys]])
-            for row in before.join(after, keys, "left_anti").toLocalIterator()
-        ]
-    overwrite_partitions(staged, path, partition_cols)
-    for folder in stale:
-        storage.delete_folder(spark, folder)
-    storage.delete_folder(spark, staged_path)
+    try:
+        stale: list[str] = []
+        if before is not None:
+            after = staged.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+            same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+            stale = [
+                "/".join([path.rstrip("/"), *[f"{k}={_folder_value(spark, row[k])}" for k in keys]])
+                for row in before.join(after, same, "left_anti").toLocalIterator()
+            ]
+        overwrite_partitions(staged, path, partition_cols)
+        for folder in stale:
+            storage.delete_folder(spark, folder)
+    finally:
+        storage.delete_folder(spark, staged_path)
+
+
+def _folder_value(spark: SparkSession, value) -> str:
+    """How Spark writes a partition value into a folder's name: null and empty have a name of their own."""
+    if value is None or value == "":
+        return "__HIVE_DEFAULT_PARTITION__"
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
 
 
 def reload_months(

@@ -53,17 +53,6 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
-def spread_scan(df: DataFrame, *columns: str) -> DataFrame:
-    """Use all cores on an input that arrives in fewer splits than there are cores.
-
-    A table stored as one row group is otherwise decoded *and* processed by one
-    task up to the next shuffle. The rows are dealt by a hash of ``columns``.
-    Inputs with enough splits pass unchanged, so at scale this adds nothing.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *columns)
-
-
 def read_partition(spark: SparkSession, root: str, **keys: int | str) -> DataFrame:
     """Rows of one partition sub-tree. Typed literals prune folders; nothing else is listed as data."""
     df = spark.read.parquet(root)

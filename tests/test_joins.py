@@ -97,7 +97,28 @@ def test_band_edges_gaps_and_overlap(spark):
     assert got == [(None, None), (0.0, 1), (10.0, 1), (10.0, 2), (25.0, None), (40.0, 3), (40.5, None)]
 
 
-def test_code_lists_beyond_their_bound_stop_the_job(spark):
-    df = spark.range(20)
-    with pytest.raises(Exception, match="more than 10 members"):
-        spark.range(1).select(joins.bounded_list(df, ["id"], limit=10)).collect()
+def test_long_code_lists_and_bands(spark):
+    n = 50_000
+    names = spark.range(n).select(F.format_string("n%06d", F.col("id")).alias("n"))
+    codes = joins.dense_code(names.repartition(7), "n", "c")
+    assert codes.filter(F.col("c") - 1 == F.substring("n", 2, 6).cast("int")).count() == n
+    bands = spark.range(n).select(F.col("id").cast("int").alias("ref_code"), F.col("id").cast("double").alias("param1"), (F.col("id") + 0.5).alias("param2"))
+    values = spark.createDataFrame([(1.25,), (1.75,), (49_999.5,), (None,)], "v double")
+    assert rowset(joins.band(values, "v", bands)) == [(None, None), (1.25, 1), (1.75, None), (49_999.5, 49_999)]
+
+
+@pytest.mark.parametrize(("left", "right"), [("int", "bigint"), ("string", "bigint"), ("bigint", "string"), ("date", "timestamp"), ("float", "int"), ("int", "int"), ("string", "int")])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_spread_join_of_unlike_key_types_equals_a_plain_join(spark, left, right, how):
+    values = ["2020-01-02", "2020-03-04"] if left == "date" else ["1", "2"]
+    rows = spark.createDataFrame([(v,) for v in [*values, values[0], None]], "k string")
+    a = rows.select(F.col("k").cast(left).alias("k"), F.lit("l").alias("a"))
+    b = rows.limit(1).union(rows.filter("k is null")).select(F.col("k").cast(right).alias("k"), F.lit("r").alias("b"))
+    got = joins.spread_join(a, b, "k", how)
+    want = a.join(b, "k", how)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_spread_join_refuses_keys_that_do_not_compare(spark):
+    with pytest.raises(TypeError, match="join key k"):
+        joins.spread_join(spark.sql("select true as k"), spark.sql("select 1 as k"), "k")

@@ -15,8 +15,8 @@ def _raw(spark, rows):
     data = [
         dict(
             CountryCode="VN", ArticleCode=a.rjust(18, "0"), InvoiceNumber=i, SiteCode="S1", DistributorCode="D1", OutletCode="0000000001",
-            SalesmanCode="SM", InvoiceType="ZF", SalesReturnReferenceInvoiceNumber=r, InvoiceDate=f"{d[:4]}-{d[4:6]}-{d[6:]}",
-            GrossSalesValue=g, SalesPCQuantity="2", YYYY=d[:4], MM=d[4:6], DD=d[6:],
+            SalesmanCode="SM", InvoiceType="ZF", SalesReturnReferenceInvoiceNumber=r, InvoiceDate=d and f"{d[:4]}-{d[4:6]}-{d[6:]}",
+            GrossSalesValue=g, SalesPCQuantity="2", YYYY=d and d[:4], MM=d and d[4:6], DD=d and d[6:],
         )
         for i, a, r, d, g in rows
     ]
@@ -52,6 +52,13 @@ def test_history_load(spark, tmp_path):
     raw = _raw(spark, [("I1", "1", "0", "20181204", "1"), ("I2", "1", "0", "20201205", "2")])
     daily_sales.load_history(spark, raw, salesman, product, paths)
     assert rowset(spark.read.parquet(paths.fact), "invoice_number", "year_id", "time_key") == [("I1", 2018, 20181204), ("I2", 2020, 20201205)]
+    # A second batch, run twice, leaves the first as it is; its undated line is an offender.
+    more = _raw(spark, [("I3", "1", "0", "20190101", "3"), ("I4", "1", "0", None, "4")])
+    for _ in range(2):
+        daily_sales.load_history(spark, more, salesman, product, paths)
+        assert rowset(spark.read.parquet(paths.fact), "invoice_number") == [("I1",), ("I2",), ("I3",)]
+        assert spark.read.parquet(paths.processed).count() == 3
+        assert spark.read.parquet(f"{paths.fact}-undated").count() == 1
 
 
 @pytest.fixture(scope="module")

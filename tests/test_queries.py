@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import TABLES, normalise
+from promoledger.queries import registry
 
 FOLDER = "/root/testdata/sf0.001"
 # A cross-section that stays quick; check_queries.py runs them all.
@@ -20,8 +21,9 @@ QUICK = (
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not present")
 
 
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_reference_has_sql():
+    assert set(registry.QUERIES) == set(registry.SQL)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")

@@ -197,3 +197,32 @@ def test_stored_upsert_reloads_a_day(spark, tmp_path):
         ("P4", 3, 7, 7, 20201205),
         ("P8", 1, 5, 5, 20201101),
     ]
+
+
+def test_loading_twice_or_after_a_failure_repeats_no_late_row(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    today = (2020, 202012, 20201205)
+    tables.upsert_days(spark, path, _keyed(spark, [("P8", "I8", "d", 1, 5, 5, 2020, 202010, 20201001), ("P0", "I0", "d", 1, 5, 5, *today)]), 20201205)
+    load = lambda stamp: _keyed(spark, [("P1", "I1", "d", 2, stamp, stamp, *today), ("P3", "I3", "d", 2, stamp, stamp, 2020, 202010, 20201001)])
+    whole = tables.overwrite_partitions
+
+    def fails(*args, **more):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(writers, "overwrite_partitions", fails)
+    with pytest.raises(RuntimeError):
+        tables.upsert_days(spark, path, load(6), 20201205)
+    monkeypatch.setattr(writers, "overwrite_partitions", whole)
+    for stamp in (7, 8):
+        tables.upsert_days(spark, path, load(stamp), 20201205)
+        assert rowset(spark.read.parquet(path).filter("time_key = 20201001"), "product_code") == [("P3",), ("P8",)]
+
+
+def test_reload_of_a_null_partition_replaces_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    scope = F.col("time_key").isNull() | (F.col("month_id") == 202001)
+    writers.append_partitions(_table(spark, [("old", 1, 2020, 202001, None), ("gone", 2, 2020, 202001, 20200101), ("stays", 3, 2020, 202002, 20200201)]), path)
+    writers.replace_slice(_table(spark, [("new", 9, 2020, 202001, None)]), path, scope)
+    assert rowset(spark.read.parquet(path), "k") == [("new",), ("stays",)]
+    writers.replace_slice(_table(spark, [("only", 9, 2020, 202001, 20200105)]), path, scope)
+    assert rowset(spark.read.parquet(path), "k") == [("only",), ("stays",)]
