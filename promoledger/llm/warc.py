@@ -46,7 +46,7 @@ LEAST_REVISIT = 100
 #: A file is closed when its compressed size reaches this.
 FILE_BYTES = 16 << 20
 #: A shard holds about so many payload bytes.
-SHARD_BYTES = 128 << 20
+SHARD_BYTES = 32 << 20
 #: Expected rows of the sample that range bounds come from.
 SAMPLE = 50_000
 # Fixed value: every record's date, so that archives are reproducible.
