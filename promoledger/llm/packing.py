@@ -94,7 +94,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_to
     histogram = {int(r["length"]): int(r["n"]) for r in filled.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     bounds = optimal_bounds(histogram, buckets)
     total = sum(histogram.values())
-    digits = max(1, math.ceil(math.log(max(1, total / SLICE), 16)))
+    digits = max(2, math.ceil(math.log(max(1, total / SLICE), 16)))
     bucket = F.lit(None).cast("int")
     for bound in reversed(bounds):
         bucket = F.when(F.col("length") <= bound, F.lit(bound)).otherwise(bucket)
