@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALTS = 16
 
@@ -26,14 +27,25 @@ def hash_share(*columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) / F.lit(1 << 40)
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def spread_lookup(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join whose left side may have hot keys: ``small`` has one row a key and is repeated once per salt.
 
     The hot key's rows go to as many tasks as there are salts, whatever AQE does.
-    ``small`` should be what is left after aggregation and filtering.
+    A row's salt is a hash of the row, so that a task that runs again after an
+    executor is lost deals the same rows to the same places. ``small`` should be
+    what is left after aggregation and filtering.
     """
     salted = small.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    keyed = big.withColumn("__salt", (F.rand(7) * SALTS).cast("int"))
+    own = [F.col(f"`{f.name}`") for f in big.schema.fields if _hashable(f.dataType)]
+    keyed = big.withColumn("__salt", F.pmod(F.xxhash64(F.lit("salt"), *own), F.lit(SALTS)).cast("int"))
     return keyed.join(salted, [*on, "__salt"], how).drop("__salt")
 
 

@@ -184,6 +184,8 @@ def _commit(batches: Iterator[pd.DataFrame], folder: str) -> Iterator[pd.DataFra
         for row in batch.itertuples():
             final = files.get_file_info(f"{root}/{row.name}")
             if files.get_file_info(f"{root}/{row.temporary}").type == fs.FileType.File:
+                if final.type == fs.FileType.File:
+                    files.delete_file(f"{root}/{row.name}")
                 files.move(f"{root}/{row.temporary}", f"{root}/{row.name}")
             elif final.type != fs.FileType.File or final.size != row.bytes:
                 raise FileNotFoundError(f"{row.temporary} of {row.name} is gone")
