@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from promoledger.functions import keys, parse
 from promoledger.operators import coded_dims, mutation, sales
-from promoledger.operators.joins import latest_per_key
+from promoledger.operators.joins import latest_per_key, spread_join
 from promoledger.operators.monthly import store_size_codes, trailing_avg
 from promoledger.plans.monthly_sales import scoped_sales
 from promoledger.queries import views
@@ -312,7 +312,15 @@ def restate_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces by brand, the key being text in the lines and a number in the master."""
+    lines = views.table(spark, sf_dir, "lineitem").select(views.text("l_partkey").alias("product_code"), F.col("l_quantity").alias("pieces"))
+    master = views.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("product_code"), F.col("p_brand").alias("brand"))
+    return spread_join(lines, master, "product_code").groupBy("brand").agg(rows(), total("pieces"))
+
+
 QUERIES = {
+    "mixed_key_join": mixed_key_join,
     "conform_sales": conform_sales,
     "trailing_minus_parse": trailing_minus_parse,
     "latest_snapshot": latest_snapshot,

@@ -66,6 +66,9 @@ coded_channel as (select channel, row_number() over (order by channel) as code f
 """
 
 SQL = {
+    "mixed_key_join": """
+select p_brand as brand, count(*) as row_count, cast(sum(round(l_quantity)) as bigint) as pieces
+from lineitem left join part on p_partkey = l_partkey group by 1""",
     "conform_sales": f"""
 with {LO}
 select product_code, cast(l_orderkey as varchar) as invoice_number,
