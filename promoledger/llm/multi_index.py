@@ -47,6 +47,8 @@ SHARE = 0.5
 LEAST_SCORED = 2_000
 #: Entries of a block of cells, and queries of a block, that one task compares, about.
 CHUNK = 2048
+#: Queries whose cells one task walks through, about.
+QUERIES_A_TASK = 128
 _ROUNDS = 12
 
 
@@ -216,6 +218,8 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
     sent = spark.sparkContext.broadcast((held, block))
     wanted = math.ceil(max(LEAST_SCORED, share * count))
     asking = usable.where("asks").select("id", "vector").dropDuplicates(["id"])
+    # Few bytes but much work a query: tasks by their number, which no merging of small partitions undoes.
+    asking = asking.repartition(max(1, math.ceil(asking.count() / QUERIES_A_TASK)), "id")
     visits, _ = stage(
         asking.mapInArrow(partial(_visit, model=model, sent=sent, wanted=wanted), f"block long, cells array<int>, id long, vector {kind}"), "index-visits"
     )
