@@ -31,8 +31,8 @@ from promoledger.llm.common import table
 VOCABULARY = "byte_bpe_50k.json"
 #: Words up to so many bytes are scanned; above, a heap finds the least rank.
 SHORT = 128
-#: Pieces of text remembered by a task before it forgets and starts anew.
-REMEMBERED = 200_000
+#: Words, and pieces between spaces, that a task remembers before it forgets and starts anew.
+REMEMBERED = 400_000
 #: Texts that are Python objects at a time.
 _ROWS = 250
 #: Ids spelled out at a time.
@@ -78,8 +78,8 @@ NO_RANK = 1 << 60
 
 
 def merge_short(ids: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
-    """Merge by scanning the contiguous rank array for its minimum (the leftmost of equal ones)."""
-    ids, get = list(ids), pairs.get
+    """Merge by scanning the contiguous rank array for its minimum (the leftmost of equal ones); ``ids`` is used up."""
+    get = pairs.get
     ranks = [get(p, NO_RANK) for p in zip(ids, ids[1:])]
     while ranks:
         least = min(ranks)
@@ -144,6 +144,7 @@ class Encoder:
         # Where white space runs over a space, cutting at spaces would cut a word of the pattern.
         self.runs = regex.compile(r"\s \s|\s \Z").search
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
+        self.met: dict[str, bytes] = {}
         self.known = Pieces(self.by_words)
 
     def word(self, word: str) -> list[int]:
@@ -151,7 +152,17 @@ class Encoder:
         return (merge_short if len(raw) <= SHORT else merge_long)([self.bytes[b] for b in raw], self.pairs)
 
     def by_words(self, text: str) -> bytes:
-        return array("i", [number for word in self.words(text) for number in self.word(word)]).tobytes()
+        met, found = self.met, []
+        for word in self.words(text):
+            ids = met.get(word)
+            if ids is None:
+                ids = array("i", self.word(word)).tobytes()
+                if len(word) <= SHORT:
+                    if len(met) >= REMEMBERED:
+                        met.clear()
+                    met[word] = ids
+            found.append(ids)
+        return b"".join(found)
 
     def plain(self, text: str) -> bytes:
         if self.runs(text):

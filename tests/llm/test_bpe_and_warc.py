@@ -40,7 +40,7 @@ def test_scan_and_heap_agree():
     encoder, rng = bpe.Encoder(bpe.vocabulary_path()), random.Random(4)
     for _ in range(300):
         ids = [encoder.bytes[b] for b in "".join(rng.choice("thean ing") for _ in range(rng.randint(0, 60))).encode()]
-        assert bpe.merge_short(ids, encoder.pairs) == bpe.merge_long(ids, encoder.pairs)
+        assert bpe.merge_short(list(ids), encoder.pairs) == bpe.merge_long(ids, encoder.pairs)
 
 
 def test_bpe_edges(spark, monkeypatch):
