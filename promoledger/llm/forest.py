@@ -7,8 +7,10 @@ cosine in double precision, and links become components.
 
 Split points are fitted on a bounded sample of a node's rows; every row is then
 sent down. Nodes still too large are sampled and split again, by themselves, until
-none is; what cannot be split (many scalings of one vector) is compared in pairs
-of chunks, so no leaf is capped. Equal vectors are one row throughout.
+none is; what cannot be split (many scalings of one vector), and a node of whose
+sampled pairs many are links, which a split would part, is compared in pairs of
+chunks, so no leaf is capped. Each vector length has levels and trees by its own
+number of rows. Equal vectors are one row throughout.
 
 Cases: vectors that are null, zero, or hold null or non-finite components, and
 rows of null id, link with nothing and are their own component; vectors of
@@ -33,7 +35,12 @@ from promoledger.llm.components import connected_components
 from promoledger.session import stage
 
 LEAST_COSINE = 0.9
+#: Trees at least; deep forests have as many more as keep the share of pairs at the bound that no tree holds together.
 TREES = 10
+#: Chance that a level keeps such a pair together at the default spill, and the share that may be missed.
+KEPT_TOGETHER, MISSED = 0.93, 0.01
+#: A node is not split where this share of its sampled pairs are links: comparing all costs at most its inverse a link.
+DENSE, DENSE_SAMPLE = 0.02, 256
 #: Rows of a leaf, about; one of over four times as many is split again.
 LEAF = 1024
 #: Share of a node's rows that go to both sides.
@@ -58,8 +65,23 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def fit_levels(projected: np.ndarray, spill: float = SPILL) -> tuple[np.ndarray, np.ndarray]:
-    """For each inner node, in heap order, below which projection rows go left and above which right."""
+def trees_for(depth: int, least: int = TREES) -> int:
+    """Trees of so many levels that miss a pair at the bound with the chance ``MISSED`` at most, ``least`` at least."""
+    return max(least, math.ceil(math.log(MISSED) / math.log1p(-(KEPT_TOGETHER**depth)))) if depth else least
+
+
+def dense(units: np.ndarray, least: float) -> bool:
+    """Whether a large part of the pairs of some of these rows are links."""
+    some = units[np.linspace(0, len(units) - 1, min(len(units), DENSE_SAMPLE)).astype(np.int64)]
+    near = int((some @ some.T >= least).sum()) - len(some)
+    return len(some) > 1 and near >= DENSE * len(some) * (len(some) - 1)
+
+
+def fit_levels(projected: np.ndarray, spill: float = SPILL, units: np.ndarray | None = None, least: float = LEAST_COSINE, small: float = 0) -> tuple[np.ndarray, np.ndarray]:
+    """For each inner node, in heap order, below which projection rows go left and above which right.
+
+    Both are infinite, so that all rows go left, where a node is dense or has at most ``small`` of these rows.
+    """
     levels = projected.shape[1]
     low, high = np.zeros(1 << levels), np.zeros(1 << levels)
     rows = {1: np.arange(len(projected))}
@@ -67,7 +89,9 @@ def fit_levels(projected: np.ndarray, spill: float = SPILL) -> tuple[np.ndarray,
         below = {}
         for at, own in rows.items():
             values = projected[own, level]
-            if len(own):
+            if len(own) <= small or units is not None and dense(units[own], least):
+                low[at] = high[at] = np.inf
+            elif len(own):
                 low[at], high[at] = np.quantile(values, [0.5 - spill / 2, 0.5 + spill / 2])
             below[2 * at], below[2 * at + 1] = own[values <= high[at]], own[values >= low[at]]
         rows = below
@@ -86,10 +110,16 @@ def descend(projected: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[n
     return row, at
 
 
-def _fit_node(rows: pd.DataFrame, turn: int, levels: int, spill: float) -> pd.DataFrame:
-    tree, size, node = int(rows["tree"].iloc[0]), int(rows["size"].iloc[0]), int(rows["node"].iloc[0])
+def _levels(count: int, leaf: int) -> int:
+    return max(0, math.ceil(math.log2(max(1, count / leaf))))
+
+
+def _fit_node(rows: pd.DataFrame, turn: int, levels: int, spill: float, leaf: int, least: float) -> pd.DataFrame:
+    tree, size, node, count = (int(rows[c].iloc[0]) for c in ("tree", "size", "node", "n"))
+    levels = levels if turn else min(levels, _levels(count, leaf))
     vectors = unit(np.stack(rows["vector"].to_numpy()).astype(np.float64))
-    low, high = fit_levels(vectors @ directions(tree, turn, size, levels), spill)
+    small = leaf * len(rows) / count
+    low, high = fit_levels(vectors @ directions(tree, turn, size, levels), spill, vectors, least, small)
     return pd.DataFrame({"tree": [tree], "size": [size], "node": [node], "low": [low], "high": [high]})
 
 
@@ -103,19 +133,23 @@ def _out(tree, size, node, batch: pa.RecordBatch, row: np.ndarray) -> pa.RecordB
     return pa.RecordBatch.from_arrays([*heads, *rows.columns], ["tree", "size", "node", "id", "copies", "vector"])
 
 
-def _first_round(batches: Iterator[pa.RecordBatch], model: dict, trees: int, levels: int) -> Iterator[pa.RecordBatch]:
-    """Send every vector down every tree; the model holds bounded lists of split points."""
+def _first_round(batches: Iterator[pa.RecordBatch], model: dict, grown: dict) -> Iterator[pa.RecordBatch]:
+    """Send every vector down every tree of its length; the model holds bounded lists of split points.
+
+    Rows of a length without trees are one node, of number 0, which is not split later.
+    """
     for whole in batches:
         sizes = np.asarray(whole.column("size"))
         for size in np.unique(sizes).tolist():
             batch = whole.filter(pa.array(sizes == size))
+            trees, levels = grown.get(size, (0, 0))
+            if not trees:
+                yield _out(0, size, np.zeros(batch.num_rows, np.int64), batch, np.arange(batch.num_rows))
+                continue
             vectors = unit(matrix(batch.column("vector")))
             for tree in range(trees):
-                if levels:
-                    low, high = model[tree, size]
-                    row, node = descend(vectors @ directions(tree, 0, size, levels), low, high)
-                else:
-                    row, node = np.arange(len(vectors)), np.ones(len(vectors), np.int64)
+                low, high = model[tree, size]
+                row, node = descend(vectors @ directions(tree, 0, size, levels), low, high)
                 yield _out(tree, size, node, batch, row)
 
 
@@ -131,35 +165,42 @@ def _later_round(batches: Iterator[pa.RecordBatch], turn: int, levels: int) -> I
             yield _out(tree, size, node, batch, row)
 
 
-def leaves(values: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
+def leaves(values: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, least: float = LEAST_COSINE) -> DataFrame:
     """``tree, size, node, id, copies, vector``: each vector in its leaf, or leaves, of every tree."""
-    count = values.count()
-    levels = min(FIRST_LEVELS, max(0, math.ceil(math.log2(max(1, count / leaf)))))
     schema = f"tree int, size int, node long, id long, copies long, vector {values.schema['vector'].dataType.simpleString()}"
-    model = {}
-    if levels:
-        sizes = values.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
+    fit = partial(_fit_node, spill=spill, leaf=leaf, least=least)
+    # Only lengths of over a leaf of rows are split, so the driver gets a row for each leaf at most.
+    sizes = values.groupBy("size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf)
+    grown, model = {}, {}
+    for row in sizes.collect():
+        depth = _levels(row["n"], leaf)
+        grown[row["size"]] = (trees_for(depth, trees), min(FIRST_LEVELS, depth))
+    if grown:
+        number = F.create_map(*[F.lit(x) for size, (count, _) in grown.items() for x in (size, count)])
         drawn = values.join(sizes, "size").where(hash_share("id") < FIRST_SAMPLE / F.col("n"))
-        spread = drawn.select("size", "vector", F.lit(1).cast("long").alias("node"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-        fitted = spread.groupBy("tree", "size", "node").applyInPandas(partial(_fit_node, turn=0, levels=levels, spill=spill), _SPLITS)
-        # At most trees * 2 ** FIRST_LEVELS split points for each vector length.
+        spread = drawn.select("size", "vector", "n", F.lit(1).cast("long").alias("node"), F.explode(F.sequence(F.lit(0), number[F.col("size")] - 1)).alias("tree"))
+        fitted = spread.groupBy("tree", "size", "node").applyInPandas(partial(fit, turn=0, levels=FIRST_LEVELS), _SPLITS)
+        # At most 2 ** FIRST_LEVELS split points for each tree.
         for row in fitted.collect():
             model[row["tree"], row["size"]] = (np.array(row["low"]), np.array(row["high"]))
-    rows, _ = stage(values.mapInArrow(partial(_first_round, model=model, trees=trees, levels=levels), schema), "forest")
+        for size in {size for (_, size), (low, _) in model.items() if low[1] == np.inf}:
+            del grown[size]
+    rows, _ = stage(values.mapInArrow(partial(_first_round, model=model, grown=grown), schema), "forest")
     done = None
     for turn in range(1, MOST_ROUNDS + 1):
         counts = rows.groupBy("tree", "size", "node").agg(F.count(F.lit(1)).alias("n"))
-        large, _ = stage(counts.where(F.col("n") > 4 * leaf), "forest-large")
+        large, _ = stage(counts.where((F.col("n") > 4 * leaf) & (F.col("node") > 0)), "forest-large")
         if not large.limit(1).count():
             break
         keys = ["tree", "size", "node"]
-        small = rows.join(large, keys, "left_anti")
-        done = small if done is None else done.unionByName(small)
         hot = rows.join(large, keys)
         drawn = hot.where(hash_share("id") < MORE_SAMPLE / F.col("n"))
-        fitted = drawn.groupBy(*keys).applyInPandas(partial(_fit_node, turn=turn, levels=MORE_LEVELS, spill=spill), _SPLITS)
-        splits, _ = stage(fitted, "forest-splits")
-        split = hot.join(splits, keys).mapInArrow(partial(_later_round, turn=turn, levels=MORE_LEVELS), schema)
+        fitted = drawn.groupBy(*keys).applyInPandas(partial(fit, turn=turn, levels=MORE_LEVELS), _SPLITS)
+        # A node that is not to be split stays as it is.
+        splits, _ = stage(fitted.where(F.element_at("low", 2) < float("inf")), "forest-splits")
+        whole = rows.join(splits, keys, "left_anti")
+        done = whole if done is None else done.unionByName(whole)
+        split = hot.drop("n").join(splits, keys).mapInArrow(partial(_later_round, turn=turn, levels=MORE_LEVELS), schema)
         rows, _ = stage(split, "forest")
     return rows if done is None else done.unionByName(rows)
 
@@ -192,7 +233,7 @@ def _compare(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
 
 def links(values: DataFrame, least: float = LEAST_COSINE, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
     """Distinct pairs ``a, b`` of ids of distinct vectors, a < b, with how many copies each has."""
-    rows = leaves(values, trees, leaf, spill)
+    rows = leaves(values, trees, leaf, spill, least)
     keys = ["tree", "size", "node"]
     large, _ = stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 4 * leaf), "forest-chunks")
     marked = rows.join(large, keys, "left")
