@@ -8,7 +8,8 @@ often it repeats it; lines are compared without leading and trailing spaces, by
 Cases: blank lines are never boilerplate and stay; a null text stays null and its
 page still counts in the host's total; a page of boilerplate alone becomes empty;
 rows of null host are one host of their own; repeated rows are pages of their
-own; a line on fewer than ``min_pages`` pages of a host stays, so small hosts
+own, unless copies are to count once, so that a group of copies does not make its
+own lines boilerplate; a line on fewer than ``min_pages`` pages of a host stays, so small hosts
 keep their text; an input column called like an output column is replaced.
 """
 
@@ -37,7 +38,7 @@ def _host_key(host: Column) -> Column:
     return F.coalesce(F.concat(F.lit("h"), host.cast("string")), F.lit("n"))
 
 
-def boilerplate(docs: DataFrame, text_col: str, host_col: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, text_col: str, host_col: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``__host, __boilerplate``: the keys of each host's boilerplate lines.
 
     Counts are combined before the shuffle, rare lines go before host totals are
@@ -47,21 +48,23 @@ def boilerplate(docs: DataFrame, text_col: str, host_col: str, max_ratio: float
     """
     visible = F.filter(_lines(F.col(text_col)), lambda line: F.trim(line) != "")
     keys = F.array_distinct(F.transform(visible, _line_key))
-    pages = docs.select(_host_key(F.col(host_col)).alias("__host"), keys.alias("keys"))
+    pages = docs.select(_host_key(F.col(host_col)).alias("__host"), keys.alias("keys"), F.xxhash64(text_col).alias("p"), F.xxhash64(F.lit(1), text_col).alias("q"))
+    if copies_once:
+        pages = pages.groupBy("__host", "p", "q").agg(F.first("keys").alias("keys"))
     counts = pages.select("__host", F.explode("keys").alias("key")).groupBy("__host", "key").agg(F.count(F.lit(1)).alias("n"))
-    totals = docs.groupBy(_host_key(F.col(host_col)).alias("__host")).agg(F.count(F.lit(1)).alias("total"))
+    totals = pages.groupBy("__host").agg(F.count(F.lit(1)).alias("total"))
     frequent = spread_lookup(counts.where(F.col("n") >= min_pages), totals, ["__host"], "inner")
     return frequent.where(F.col("n") / F.col("total") > max_ratio).groupBy("__host").agg(F.collect_set("key").alias("__boilerplate"))
 
 
-def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, dropped_col: str = "n_dropped") -> DataFrame:
-    """``docs`` with boilerplate lines taken out of the text, and how many.
+def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, dropped_col: str = "n_dropped", copies_once: bool = False) -> DataFrame:
+    """``docs`` with boilerplate lines taken out of the text, and how many; pages of equal text may count as one.
 
     The hosts' lists are written first; their measured size lets Spark broadcast
     them where they are small, so that texts need no shuffle, and shuffle by host
     and salt where they are not.
     """
-    lists, _ = stage(boilerplate(docs.select(text_col, host_col), text_col, host_col, max_ratio, min_pages), "boilerplate")
+    lists, _ = stage(boilerplate(docs.select(text_col, host_col), text_col, host_col, max_ratio, min_pages, copies_once), "boilerplate")
     keyed = docs.withColumn("__host", _host_key(F.col(host_col)))
     found = spread_lookup(keyed, lists, ["__host"])
     lines = _lines(F.col(text_col))
