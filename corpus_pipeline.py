@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promoledger.llm import langid, line_dedup, packing, quality, shingle_sets
+from promoledger.llm import langid, line_dedup, packing, quality, simhash
 from promoledger.llm.common import fold, table
 from promoledger.session import stage
 
@@ -50,11 +50,12 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates, that of least id (rows without id come last).
 
-    Near are documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more; ``op4`` has its own rule.
+    Near is what ``op4`` calls near: fingerprints of three-word shingles that differ in three bits or fewer,
+    found by its operator with its contract's shingle length and distance.
     """
-    key = F.array(F.coalesce(F.col("doc_id"), F.lit(_LAST_ID)).cast("long"), F.xxhash64("text"))
+    key = F.struct(F.coalesce(F.col("doc_id"), F.lit(_LAST_ID)).cast("long").alias("id"), F.xxhash64("text").alias("text"))
     keyed = docs.withColumn("__key", key)
-    groups = shingle_sets.near_duplicates(keyed, "__key")
+    groups = simhash.near_duplicates(keyed, "__key", words=simhash.SHINGLE)
     first = groups.where(F.col("id") == F.col("component")).select(F.col("id").alias("__key")).distinct()
     return keyed.join(first, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
 
