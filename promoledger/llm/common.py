@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from promoledger.session import stage
+from promoledger.sources.storage import delete_folder
+
 SALTS = 16
 
 
@@ -55,6 +58,38 @@ def with_outputs(df: DataFrame, outputs: Sequence[str]) -> list[str]:
     return [f"`{c}`" for c in df.columns if c.lower() not in taken]
 
 
+class Scratch:
+    """The tables that one computation writes on its way; they go once its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        found, path = stage(df, label)
+        self.paths.append(path)
+        return found
+
+    def result(self, df: DataFrame, label: str) -> DataFrame:
+        """``df`` written; all other tables are deleted."""
+        found, _ = stage(df, label)
+        self.clear()
+        return found
+
+    def clear(self) -> None:
+        for path in self.paths:
+            delete_folder(self.spark, path)
+        self.paths = []
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
+
+
 def utf8_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of an Arrow string column on end, and where each begins; null is empty."""
     if column.null_count:
