@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promoledger import session
+from promoledger.operators.intervals import interval_join, reject_overlaps
 
 _HASH = "__hash"
 
@@ -114,14 +115,16 @@ def dense_code(df: DataFrame, column: str, code: str) -> DataFrame:
     return inside.join(starts, "__p").select(column, (F.col("__start") + F.col("__n")).cast("int").alias(code))
 
 
-def band(df: DataFrame, value: str, bands: DataFrame, code: str = "ref_code", out: str = "band_code") -> DataFrame:
+def band(df: DataFrame, value: str, bands: DataFrame, code: str = "ref_code", out: str = "band_code", unique: bool = False) -> DataFrame:
     """Left range lookup: the codes of all bands with ``param1 <= value <= param2``, null when none fits.
 
-    Only the distinct values meet the bands; Spark chooses how by the measured
-    sizes, and nothing is gathered into one row. The rows then look their value up
-    by equality. A value in several bands yields one row each.
+    Only the distinct values meet the bands, by an equality join on buckets; the
+    rows then look their value up. A value in several bands yields one row each;
+    with ``unique`` bands that overlap are refused, so each row stays one row.
     """
+    if unique:
+        reject_overlaps(bands)
     limits = bands.select(F.col("param1").alias("__low"), F.col("param2").alias("__high"), F.col(code).alias(out))
-    inside = (F.col(value) >= F.col("__low")) & (F.col(value) <= F.col("__high"))
-    hits = df.select(value).where(F.col(value).isNotNull()).distinct().join(limits, inside).select(value, out)
+    distinct = df.select(value).where(F.col(value).isNotNull()).distinct()
+    hits = interval_join(distinct, value, limits, "__low", "__high").select(value, out)
     return spread_join(df, hits, value).select(*df.columns, out)

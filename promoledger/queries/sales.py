@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from promoledger.functions import keys, parse
 from promoledger.operators import coded_dims, mutation, sales
+from promoledger.operators.intervals import interval_join
 from promoledger.operators.joins import latest_per_key, spread_join
 from promoledger.operators.monthly import store_size_codes, trailing_avg
 from promoledger.plans.monthly_sales import scoped_sales
@@ -162,6 +163,20 @@ def store_size_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sizes(spark, sf_dir).select("outlet_code", F.coalesce("store_size_code", F.lit(0)).alias("store_size_code"))
 
 
+def interval_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose amount lies in the price band of each product: one band a product, overlapping, a few without an end."""
+    price, size = views.hundredths("p_retailprice") * 10, F.col("p_size")
+    edge = lambda at, brand: (size == at) & (F.col("p_brand") == brand)
+    bands = views.table(spark, sf_dir, "part").select(
+        views.product_code("p_partkey").alias("product_code"),
+        F.when(~edge(1, "Brand#13"), price).alias("low"),
+        F.when(~edge(50, "Brand#25"), price + size * 100).alias("high"),
+    )
+    amounts = views.table(spark, sf_dir, "lineitem").groupBy(views.hundredths("l_extendedprice").alias("cents")).agg(F.count(F.lit(1)).alias("n"))
+    held = interval_join(amounts, "cents", bands, "low", "high", open_ends=True)
+    return held.groupBy("product_code").agg(F.sum("n").alias("row_count"), F.sum(F.col("n") * F.col("cents")).alias("gross_cents"))
+
+
 def coded_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consolidated code table of the report model."""
     regions = views.table(spark, sf_dir, "region").select(
@@ -329,6 +344,7 @@ QUERIES = {
     "site_semi_filter": site_semi_filter,
     "trailing_avg": trailing_mean,
     "store_size_band": store_size_band,
+    "interval_bands": interval_bands,
     "coded_dims": coded_lists,
     "monthly_sales": monthly_sales,
     "upsert": upsert,

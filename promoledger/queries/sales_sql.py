@@ -121,6 +121,16 @@ group by 1""",
     "trailing_avg": f"""
 with {LO}, {AVG}
 select outlet_code, round(mean, 6) as avg_gross_sales_mn from avg3""",
+    "interval_bands": f"""
+with {LN}, {PT},
+bands as (
+  select product_code, case when not (p_size = 1 and p_brand = 'Brand#13') then pcents * 10 end as low,
+    case when not (p_size = 50 and p_brand = 'Brand#25') then pcents * 10 + p_size * 100 end as high
+  from pt),
+amounts as (select cents, count(*) as n from ln group by 1)
+select product_code, cast(sum(n) as bigint) as row_count, cast(sum(n * cents) as bigint) as gross_cents
+from bands join amounts on cents >= coalesce(low, cents) and cents <= coalesce(high, cents)
+where low is not null or high is not null group by 1""",
     "store_size_band": f"""
 with {LO}, {AVG}
 select outlet_code, cast(store_size_code as integer) as store_size_code from sizes""",
