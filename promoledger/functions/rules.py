@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Fixed values of the data contract.
 GIFT_MECHANISMS = ["FQ", "JR", "NU"]
 UNPROCESSED_MECHANISMS = ["JR", "NU"]
+# Promotion types that the feed is split by; all others are one more subset.
+FEED_SUBSETS = ["DTRDIS", "LINDIS", "BASKET", "VOLDIS"]
 MISSING = "NA"
 NO_RETURN_REFERENCE = "0"
 

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promoledger import schemas
+from promoledger import schemas, session
+from promoledger.functions import rules
 from promoledger.operators import dims, feed, monthly, promo, quality
 from promoledger.operators.io_master import category_share
-from promoledger.sinks import writers
+from promoledger.sinks import counted, writers
+from promoledger.sources import storage
 
 _CONTROL_MEASURES = {
     "value_based_promo_disc": "VBPD",
@@ -50,22 +52,31 @@ class PromoPaths:
 def ingest(
     raw: DataFrame, control: DataFrame, calendar: DataFrame, masters: Masters, paths: PromoPaths, threshold: float
 ) -> None:
-    """Raw export -> processed promotions, behind the load and control-total gates."""
+    """Raw export -> processed promotions, behind the load and control-total gates.
+
+    The cleaned feed is written once, by subsets, with its rows counted on the way;
+    every gate and the next layer read that table, so the raw files are parsed once.
+    """
     spark = raw.sparkSession
-    sites = dims.site_list(masters.distributors)
-    cleaned = feed.clean_promo_feed(raw, sites)
-    deltas = quality.control_total_deltas(cleaned, feed.clean_control_totals(control), _CONTROL_MEASURES)
-    quality.run_checks(
-        [
-            quality.CheckResult("trading_days_without_sales", quality.trading_days_without_sales(calendar, cleaned)),
-            quality.CheckResult("multi_distributor_sites", quality.multi_distributor_sites(cleaned)),
-            quality.CheckResult("control_totals", deltas, quality.REPORT),
-            quality.CheckResult("control_totals_breached", quality.breached(deltas, threshold)),
-        ],
-        paths.exceptions,
-    )
-    promos = feed.dedupe_loyalty(feed.harmonize_promo(cleaned, masters.article))
-    writers.overwrite_partitions(schemas.conform(promos, schemas.PROCESSED_PROMO), paths.processed)
+    path = session.new_work_path(spark, "cleaned")
+    try:
+        stored, ledger = counted.store_subsets(feed.clean_promo_feed(raw, dims.site_list(masters.distributors)), "promotion_type", rules.FEED_SUBSETS, path)
+        cleaned = stored.drop(counted.SUBSET)
+        deltas = quality.control_total_deltas(cleaned, feed.clean_control_totals(control), _CONTROL_MEASURES)
+        quality.run_checks(
+            [
+                quality.CheckResult("subset_counts", ledger.mismatches(spark)),
+                quality.CheckResult("trading_days_without_sales", quality.trading_days_without_sales(calendar, cleaned)),
+                quality.CheckResult("multi_distributor_sites", quality.multi_distributor_sites(cleaned)),
+                quality.CheckResult("control_totals", deltas, quality.REPORT),
+                quality.CheckResult("control_totals_breached", quality.breached(deltas, threshold)),
+            ],
+            paths.exceptions,
+        )
+        promos = feed.dedupe_loyalty(feed.harmonize_promo(cleaned, masters.article))
+        writers.overwrite_partitions(schemas.conform(promos, schemas.PROCESSED_PROMO), paths.processed)
+    finally:
+        storage.delete_folder(spark, path)
     processed = spark.read.parquet(paths.processed)
     hierarchy = dims.standard_hierarchy(masters.local_product, masters.article)
     quality.run_checks(

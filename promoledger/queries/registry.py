@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from promoledger.queries import (
+    controls,
+    controls_sql,
     dimensions,
     dimensions_sql,
     gates,
@@ -25,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **dimensions.QUERIES,
     **gates.QUERIES,
     **storage.QUERIES,
+    **controls.QUERIES,
 }
 SQL: dict[str, str] = {
     **sales_sql.SQL,
@@ -32,4 +35,5 @@ SQL: dict[str, str] = {
     **dimensions_sql.SQL,
     **gates_sql.SQL,
     **storage_sql.SQL,
+    **controls_sql.SQL,
 }

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promoledger import schemas
+from promoledger.functions import parse
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
@@ -37,6 +38,56 @@ def read_report_export(spark: SparkSession, paths: str | Sequence[str], schema:
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
+DATA, HEADER, TOTAL, REJECT, PREAMBLE = "data", "header", "total", "reject", "preamble"
+_DAMAGED = "__damaged"
+
+
+def read_report_files(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, ours: Column, header: Column, total: Column, day: Column
+) -> DataFrame:
+    """Lines of report exports with ``source_file`` and ``line_kind``, so every line of every file can be accounted for.
+
+    ``ours`` tells the lines that belong to the table, ``header`` and ``total`` the
+    export's own; ``day`` is the parsed day of a data line. A line of ours with too
+    few or too many fields, or without a day, is a reject: it is kept with what it
+    holds, and counted, but it is no data. Whatever else there is, is preamble.
+    """
+    damaged = T.StructType([*schema.fields, T.StructField(_DAMAGED, T.StringType())])
+    reader = spark.read.schema(damaged).option("sep", ";").option("pathGlobFilter", "*csv*").option("recursiveFileLookup", "true")
+    # Without column pruning: fields are only counted where all of them are parsed.
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _DAMAGED).option("columnPruning", "false")
+    raw = reader.csv(list(paths) if not isinstance(paths, str) else paths).select("*", F.col("_metadata.file_path").alias("source_file"))
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    whole = F.col(_DAMAGED).isNull() & day.isNotNull()
+    kind = F.when(yes(header), HEADER).when(yes(total), TOTAL).when(yes(ours), F.when(whole, DATA).otherwise(REJECT)).otherwise(PREAMBLE)
+    return raw.withColumn("line_kind", kind).drop(_DAMAGED)
+
+
+def read_promo_files(spark: SparkSession, paths: str | Sequence[str], country: str = "VN") -> DataFrame:
+    """The promotion export, line by line, with file and kind."""
+    first = F.upper(F.trim("country"))
+    total = (first == country.upper()) & (F.upper("calendar_day") == "OVERALL RESULT")
+    return read_report_files(spark, paths, schemas.PROMO_FEED, first == country.upper(), first == "COUNTRY", total, parse.report_day_key("calendar_day"))
+
+
+def read_control_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The control-total export, line by line, with file and kind; distributors of all types are lines of ours."""
+    first = F.upper(F.trim("calendar_day"))
+    ours = first.rlike(r"^\d")
+    return read_report_files(spark, paths, schemas.CONTROL_TOTALS, ours, first == "CALENDAR DAY", first == "OVERALL RESULT", parse.report_day_key("calendar_day"))
+
+
+def data_lines(lines: DataFrame) -> DataFrame:
+    """The data lines alone, as the plain reader returns them."""
+    return lines.where(F.col("line_kind") == DATA).drop("source_file", "line_kind")
+
+
+def line_accounts(lines: DataFrame) -> DataFrame:
+    """For each file: how many lines it has, and of which kind; a column a kind, adding up to ``n_lines``."""
+    kinds = [F.count_if(F.col("line_kind") == kind).alias(f"n_{kind}") for kind in (DATA, HEADER, TOTAL, REJECT, PREAMBLE)]
+    return lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_lines"), *kinds)
+
+
 def report_rows(raw: DataFrame, country: str = "VN") -> DataFrame:
     """Data lines of the promotion export: of the country, and no 'Overall Result' total."""
     return raw.filter(
