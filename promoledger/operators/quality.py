@@ -301,6 +301,50 @@ def differing_layers(deltas: DataFrame) -> DataFrame:
     return deltas.filter(F.abs("delta_promotion_value") > 0)
 
 
+PAIR, TYPE, EVERYTHING = "type and mechanism", "type", "all"
+
+
+def layer_cube(layers: dict[str, DataFrame], keys: Sequence[str] = LAYER_KEYS) -> DataFrame:
+    """Rounded promotion value of several layers side by side: by type and mechanism, by type, and over all.
+
+    The layers are one tagged union that is summed once; totals are grouping sets
+    of those few sums, so no layer is joined to another or read for a total. A key
+    that a layer lacks counts 0 there. ``level`` tells a total from a missing key.
+    """
+    tagged = None
+    for name, layer in layers.items():
+        kept = layer.filter(~F.col("promotion_mechanism").isin(rules.UNPROCESSED_MECHANISMS))
+        part = kept.select(F.lit(name).alias("layer"), *keys, "promotion_value")
+        tagged = part if tagged is None else tagged.unionByName(part)
+    sums = tagged.groupBy("layer", *keys).agg(F.sum("promotion_value").alias("promotion_value"))
+    first = [F.col(k) for k in keys]
+    sets = sums.groupingSets([first[: len(keys) - n] for n in range(len(keys) + 1)], *first)
+    values = [F.round(rules.zero_if_null(F.sum(F.when(F.col("layer") == name, F.col("promotion_value"))))).alias(name) for name in layers]
+    # One bit for each key that was summed over, the last key's lowest.
+    level = F.when(F.grouping_id() == 0, PAIR).when(F.grouping_id() == 2 ** len(keys) - 1, EVERYTHING).otherwise(TYPE)
+    return sets.agg(level.alias("level"), *values).select("level", *keys, *layers)
+
+
+def layer_breaches(cube: DataFrame, threshold: float, processed: str = "processed", daily: str = "daily", monthly: str = "monthly", tolerance: float = 1.0) -> DataFrame:
+    """Rows of the cube whose value changed by ``threshold`` percent on its way to the daily layer, or at all on its way to the month.
+
+    ``breach`` says which. Percents are judged by type and mechanism alone, as in
+    ``breached_layers``: free goods only come to their value on the way, and totals
+    hold them too. The roll-up has to agree in every total, but for ``tolerance``:
+    two sums of the same fractions in another order may round to neighbouring units.
+    """
+    before, after = F.abs(processed), F.abs(daily)
+    free = F.coalesce(F.col("promotion_mechanism") == "FQ", F.lit(False))
+    derived = F.coalesce(F.col("promotion_type") == "BBFREE", F.lit(False)) & free
+    from_nothing = (before == 0) & (after != 0) & ~free
+    percent = F.when(from_nothing, -100.0).otherwise(rules.share((before - after) * 100, before))
+    shown = cube.withColumns({"delta_prcntg": percent, "delta_promotion_value": F.abs(monthly) - after})
+    value = (F.col("level") == PAIR) & (F.abs("delta_prcntg") >= threshold) & ~derived
+    rolled = F.abs("delta_promotion_value") > tolerance
+    breach = F.concat_ws(" and ", F.when(value, "value"), F.when(rolled, "roll-up"))
+    return shown.withColumn("breach", breach).filter(F.col("breach") != "")
+
+
 def ungrouped_off_rows(fact: DataFrame) -> DataFrame:
     """Off-invoice rows without a standard product group, by mechanism and type."""
     lacking = rules.or_missing("standard_product_group_code") == rules.MISSING

@@ -220,7 +220,7 @@ def _build_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return promo.io_brands(views.io(spark, sf_dir), views.hierarchy(spark, sf_dir))
 
 
-def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+def brand_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.layer(spark, sf_dir, "io-brands", _build_brands)
 
 
@@ -241,20 +241,20 @@ def _off_report(allocated: DataFrame) -> DataFrame:
 def off_invoice_perstr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perfect-store spend split by channel category share and the funding order's brands."""
     return _off_report(
-        promo.off_invoice_perstr(_off_sums(spark, sf_dir), _share(spark, sf_dir), _brands(spark, sf_dir))
+        promo.off_invoice_perstr(_off_sums(spark, sf_dir), _share(spark, sf_dir), brand_funds(spark, sf_dir))
     )
 
 
 def off_invoice_other(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Other off-invoice spend split over the funding order's brands."""
-    return _off_report(promo.off_invoice_other(_off_sums(spark, sf_dir), _brands(spark, sf_dir)))
+    return _off_report(promo.off_invoice_other(_off_sums(spark, sf_dir), brand_funds(spark, sf_dir)))
 
 
 def gift_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free gifts valued by scheme price, else item price, else 0, split over brands."""
     gifts = promo.gift_value(
         views.promos(spark, sf_dir),
-        _brands(spark, sf_dir),
+        brand_funds(spark, sf_dir),
         views.gift_prices(spark, sf_dir),
         views.gift_master(spark, sf_dir),
     )
@@ -263,21 +263,21 @@ def gift_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(rows(), *[total(c) for c in VALUES])
 
 
-def _off_lines_allocated(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+def _off_lines_allocated(spark: SparkSession, sf_dir: str, lines: DataFrame, funds: DataFrame | None = None) -> DataFrame:
     off_lines = promo.off_invoice_lines(lines, views.dim_promotion(spark), views.bridge(spark, sf_dir))
-    brands = _brands(spark, sf_dir)
+    brands = brand_funds(spark, sf_dir) if funds is None else funds
     return promo.off_invoice_perstr(off_lines, _share(spark, sf_dir), brands).unionByName(
         promo.off_invoice_other(off_lines, brands)
     )
 
 
-def daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily promotion fact at invoice grain."""
+def daily_fact(spark: SparkSession, sf_dir: str, off_funds: DataFrame | None = None) -> DataFrame:
+    """The daily promotion fact at invoice grain; off-invoice spend may be given funds of its own."""
     lines = views.processed_promos(spark, sf_dir)
-    brands = _brands(spark, sf_dir)
+    brands = brand_funds(spark, sf_dir)
     return promo.daily_promotions(
         promo.on_invoice(lines, views.dim_promotion(spark), views.hierarchy(spark, sf_dir), views.io(spark, sf_dir)),
-        _off_lines_allocated(spark, sf_dir, lines),
+        _off_lines_allocated(spark, sf_dir, lines, off_funds),
         promo.gift_value(lines, brands, views.gift_prices(spark, sf_dir), views.gift_master(spark, sf_dir)),
         promo.unprocessed_mechanisms(lines),
     )
