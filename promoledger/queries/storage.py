@@ -11,6 +11,7 @@ from promoledger.operators import dims, feed
 from promoledger.operators.joins import latest_per_key
 from promoledger.plans import reference_data
 from promoledger.queries import views
+from promoledger.queries.sales import returns_fact
 from promoledger.queries.shape import rows, whole
 from promoledger.session import new_work_path, stage
 from promoledger.sinks import tables, writers
@@ -102,6 +103,17 @@ def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def returns_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns of a month restated in a fact stored by ten days: their rows leave their folders and enter those of their originals."""
+    path = new_work_path(spark, "returns")
+    fact = returns_fact(spark, sf_dir).drop("original").withColumn("time_key", (F.floor(F.col("time_key") / 10) * 10).cast("int"))
+    writers.append_partitions(fact, path)
+    tables.restate_returns_in_place(spark, path, month=200003)
+    stored = spark.read.parquet(path)
+    returned = F.count_if(F.col("sales_ret_ref_invoice_number") != "0").alias("returned_rows")
+    return stored.groupBy("year_id", "month_id", "time_key").agg(rows(), F.sum("gross_cents").alias("gross_cents"), returned)
+
+
 def pii_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer names encrypted, stored, read back and decrypted."""
     path = new_work_path(spark, "pii")
@@ -190,6 +202,7 @@ QUERIES = {
     "partition_write_read": partition_write_read,
     "export_window": export_window,
     "upsert_stored": upsert_stored,
+    "returns_in_place": returns_in_place,
     "pii_roundtrip": pii_roundtrip,
     "snapshot_master": snapshot_master,
     "report_export_read": report_export_read,

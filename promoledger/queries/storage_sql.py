@@ -29,6 +29,28 @@ kept as (
   from keyed)
 select mid as month_id, cast(ts as bigint) as insert_ts, count(*) as row_count, cast(sum(cents) as bigint) as gross_cents
 from kept group by 1, 2""",
+    "returns_in_place": f"""
+with {LN},
+item as (
+  select cast(l_orderkey as varchar) as invoice_number, l_partkey, tk, mid, rf, cents from ln),
+firsts as (
+  select l_partkey, mid, invoice_number as original
+  from (select *, row_number() over (partition by l_partkey, mid order by tk, invoice_number) as rn from item where rf <> 'R')
+  where rn = 1),
+fact as (
+  select item.*, case when rf = 'R' and original is not null then original else '0' end as ref
+  from item left join firsts using (l_partkey, mid)),
+src as (
+  select r.invoice_number, r.l_partkey, min(o.tk) as new_tk
+  from (select distinct invoice_number, l_partkey, ref from fact where mid = 200003 and ref <> '0') r
+  join fact o on o.invoice_number = r.ref and o.l_partkey = r.l_partkey and o.mid in (200002, 200003)
+  group by 1, 2),
+stored as (
+  select cast(floor(case when mid in (200002, 200003) then coalesce(new_tk, tk) else tk end / 10) * 10 as integer) as tk, ref, cents
+  from fact f left join src s on s.invoice_number = f.invoice_number and s.l_partkey = f.l_partkey)
+select cast(floor(tk / 10000) as integer) as year_id, cast(floor(tk / 100) as integer) as month_id, tk as time_key,
+  count(*) as row_count, cast(sum(cents) as bigint) as gross_cents, count(*) filter (ref <> '0') as returned_rows
+from stored group by tk""",
     "pii_roundtrip": "select c_custkey, c_name from customer",
     "snapshot_master": """
 select lpad(cast(p_partkey as varchar), 8, '0') as material_code,

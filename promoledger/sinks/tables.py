@@ -53,7 +53,8 @@ def upsert_days(
         replace_slice(mutation.delete_latest_batch(table.filter(week), first, last), path, week, partition_cols)
         table = spark.read.schema(table.schema).parquet(path)
     scope = F.coalesce(F.col("time_key").isin([int(day), keys.shift_day(day, -1)]), F.lit(False))
-    merged = mutation.upsert(table.filter(scope), source.select(*table.columns), on, keep)
+    scoped, incoming = table.filter(scope), source.select(*table.columns)
+    merged = mutation.upsert(scoped, incoming, on, keep, hot=mutation.hot_keys(scoped, incoming, on))
     staged, staged_path = session.stage(merged, "upsert")
     try:
         late = staged.filter(~scope)
@@ -92,7 +93,8 @@ def restate_returns_in_place(
     returned = F.col("month_id") == current
     if day is not None:
         returned = returned & (F.col("time_key") == int(day))
-    source, source_path = session.stage(mutation.restatement_source(fact, returned, months), "returns")
+    returns, returns_path = session.stage(mutation.returned_lines(fact, returned), "returns")
+    source, source_path = session.stage(mutation.restatement_source(fact, returns, months), "restated")
     scoped = fact.filter(F.col("month_id").isin(months))
     moving = scoped.join(source, ["invoice_number", "product_code"], "left_semi")
     # At most one entry per day of the two months.
@@ -110,4 +112,5 @@ def restate_returns_in_place(
         replace_slice(
             mutation.apply_restatement(fact.filter(scope), source, batch_ts), path, scope, partition_cols
         )
-    storage.delete_folder(spark, source_path)
+    for used in (returns_path, source_path):
+        storage.delete_folder(spark, used)
