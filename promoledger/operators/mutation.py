@@ -17,8 +17,8 @@ from promoledger.operators.joins import latest_per_key, spread_join
 from promoledger.sources.readers import constant_relation
 
 SALES_KEYS = ("product_code", "invoice_number")
-# Columns a match never changes: the partition a row lives in, its date and its first load time.
-KEPT_ON_UPDATE = ("invoice_date", "year_id", "month_id", "time_key", "insert_ts")
+# Columns a match never changes: the partition a row lives in, its date, its first load time and what backfill brought it.
+KEPT_ON_UPDATE = ("invoice_date", "year_id", "month_id", "time_key", "insert_ts", "batch_id")
 
 
 #: A key that owns this share of all rows is merged apart.

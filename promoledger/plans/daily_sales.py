@@ -32,7 +32,7 @@ def load_day(
     batch_ts: Column | None = None,
 ) -> None:
     """Conform -> processed layer -> enrich -> merge -> restate returns -> export the last seven days."""
-    writers.overwrite_partitions(conform_sales(raw, country, day), paths.processed)
+    writers.overwrite_partitions(conform_sales(raw, country, day).withColumn(writers.BATCH, F.lit(None).cast("string")), paths.processed)
     processed = readers.read_partition(
         spark, paths.processed, year_id=day // 10000, month_id=day // 100, time_key=day
     )
@@ -51,21 +51,29 @@ def load_history(
     paths: SalesPaths,
     country: str = "VN",
     batch_ts: Column | None = None,
-) -> None:
-    """Backfill the periods of a batch in both layers, one partitioned write each.
+    batch_id: str | None = None,
+) -> str:
+    """Add a batch of history to both layers, one partitioned write each; returns the batch's identity.
 
-    A batch holds whole days: its days replace what the layers held for them, so a
-    batch may be run again, and other batches' days stay. Lines without a date go
-    to a table of offenders beside the fact, under ``-undated``; they replace the
-    offenders of the batch before.
+    The identity is carried by every row: a name, or else a digest of the batch's
+    content. A batch may be run again: its own rows make way, those of other
+    batches stay, on shared days too. Lines without a date go to a table of
+    offenders beside the fact, under ``-undated``, with a folder for each batch.
     """
     conformed = conform_sales(raw, country, keys_from_invoice_date=True)
     staged, staged_path = session.stage(conformed, "history")
     try:
-        dated = staged.filter(F.col("time_key").isNotNull())
-        writers.overwrite_partitions(dated, paths.processed)
+        batch = batch_id or writers.batch_digest(staged)
+        dated, undated = staged.filter(F.col("time_key").isNotNull()), staged.filter(F.col("time_key").isNull())
+        writers.append_batch(dated, paths.processed, batch)
         enriched = schemas.conform(enrich_sales(dated, salesman, product, batch_ts), schemas.DAILY_SALES)
-        writers.overwrite_partitions(enriched, paths.fact)
-        writers.write_small(staged.filter(F.col("time_key").isNull()), f"{paths.fact.rstrip('/')}-undated")
+        writers.append_batch(enriched, paths.fact, batch)
+        writers.replace_folder(undated, undated_path(paths), writers.BATCH, batch)
+        return batch
     finally:
         storage.delete_folder(spark, staged_path)
+
+
+def undated_path(paths: SalesPaths) -> str:
+    """Where backfills leave the lines that have no date."""
+    return f"{paths.fact.rstrip('/')}-undated"

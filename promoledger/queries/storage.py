@@ -9,7 +9,7 @@ from promoledger import schemas
 from promoledger.functions import crypto, keys
 from promoledger.operators import dims, feed
 from promoledger.operators.joins import latest_per_key
-from promoledger.plans import reference_data
+from promoledger.plans import daily_sales, reference_data
 from promoledger.queries import views
 from promoledger.queries.sales import returns_fact
 from promoledger.queries.shape import rows, whole
@@ -114,6 +114,37 @@ def returns_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("year_id", "month_id", "time_key").agg(rows(), F.sum("gross_cents").alias("gross_cents"), returned)
 
 
+def history_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two backfills that share all months, the first run again: rows by batch and month, undated lines of both without one."""
+    root = new_work_path(spark, "history")
+    paths = daily_sales.SalesPaths(*[f"{root}/{layer}" for layer in ("processed", "fact", "export")])
+    cents = views.hundredths("l_extendedprice")
+    undated = (F.col("l_linenumber") == 1) & (F.col("l_tax") >= 0.08)
+    raw = schemas.conform(
+        views.table(spark, sf_dir, "lineitem").select(
+            F.lit("VN").alias("CountryCode"),
+            F.lpad(views.text("l_partkey"), 18, "0").alias("ArticleCode"),
+            views.text("l_orderkey").alias("InvoiceNumber"),
+            views.text("l_suppkey").alias("SiteCode"),
+            views.text("l_suppkey").alias("SalesmanCode"),
+            F.col("l_returnflag").alias("CustomerZRSSFlag"),
+            F.when(~undated, F.trunc("l_shipdate", "month")).alias("InvoiceDate"),
+            cents.cast("string").alias("GrossSalesValue"),
+        ),
+        schemas.RAW_INVOICE_LINES,
+    )
+    salesman = views.table(spark, sf_dir, "supplier").select(views.text("s_suppkey").alias("salesman_code"), F.concat(F.lit("SF"), views.text("s_nationkey")).alias("salesforce"))
+    product = views.table(spark, sf_dir, "part").select(views.product_code("p_partkey").alias("product_code"), F.col("p_brand").alias("brand"), F.col("p_type").alias("category_code"), views.text("p_size").alias("cotc"))
+    stamp = F.lit("2001-12-01 00:00:00").cast("timestamp")
+    returned = F.col("CustomerZRSSFlag") == "R"
+    for name, batch in (("sales", ~returned), ("returns", returned), ("sales", ~returned)):
+        daily_sales.load_history(spark, raw.filter(batch), salesman, product, paths, batch_ts=stamp, batch_id=name)
+    value = F.sum(F.round("gross_sales_val").cast("long")).alias("gross_value")
+    fact = spark.read.parquet(paths.fact).groupBy("batch_id", "month_id").agg(rows(), value, F.count("salesforce").alias("with_salesforce"))
+    left = spark.read.parquet(daily_sales.undated_path(paths)).groupBy("batch_id", "month_id").agg(rows(), value)
+    return fact.unionByName(left.withColumn("with_salesforce", F.lit(0).cast("long")))
+
+
 def pii_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer names encrypted, stored, read back and decrypted."""
     path = new_work_path(spark, "pii")
@@ -203,6 +234,7 @@ QUERIES = {
     "export_window": export_window,
     "upsert_stored": upsert_stored,
     "returns_in_place": returns_in_place,
+    "history_two_batches": history_two_batches,
     "pii_roundtrip": pii_roundtrip,
     "snapshot_master": snapshot_master,
     "report_export_read": report_export_read,

@@ -51,6 +51,16 @@ stored as (
 select cast(floor(tk / 10000) as integer) as year_id, cast(floor(tk / 100) as integer) as month_id, tk as time_key,
   count(*) as row_count, cast(sum(cents) as bigint) as gross_cents, count(*) filter (ref <> '0') as returned_rows
 from stored group by tk""",
+    "history_two_batches": f"""
+with {LN},
+t as (
+  select case when rf = 'R' then 'returns' else 'sales' end as batch_id,
+    case when not (l_linenumber = 1 and tp >= 8) then mid end as month_id, cents * 100 as v,
+    l_suppkey in (select s_suppkey from supplier) as known
+  from ln)
+select batch_id, month_id, count(*) as row_count, cast(sum(v) as bigint) as gross_value,
+  case when month_id is null then 0 else count(*) filter (known) end as with_salesforce
+from t group by 1, 2""",
     "pii_roundtrip": "select c_custkey, c_name from customer",
     "snapshot_master": """
 select lpad(cast(p_partkey as varchar), 8, '0') as material_code,

@@ -90,6 +90,8 @@ DAILY_SALES = struct(
     i=" ".join(SALES_QUANTITIES),
     s_3="salesforce brand category_code brand_cat_core",
     ts="insert_ts update_ts",
+    # Which backfill brought the row; daily loads bring none.
+    s_4="batch_id",
     i_2="year_id month_id time_key",
 )
 

@@ -3,6 +3,7 @@ ones, so neither a tiny master nor a day that holds a third of all rows ends up
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,45 @@ def append_partitions(df: DataFrame, path: str, partition_cols: Sequence[str] =
     df.hint("rebalance", *partition_cols).write.mode("append").partitionBy(*partition_cols).parquet(path)
 
 
+BATCH = "batch_id"
+
+
+def batch_digest(df: DataFrame) -> str:
+    """An identity for the content of a batch, whatever the order of its rows: their number and two sums of their hashes."""
+    own = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    seeded = F.xxhash64(F.lit("batch"), *[F.col(f"`{c}`") for c in df.columns])
+    found = df.agg(F.count(F.lit(1)), F.bit_xor(own), F.sum(seeded.cast("decimal(20,0)"))).first()
+    return hashlib.sha256(repr(tuple(str(x) for x in found)).encode()).hexdigest()[:16]
+
+
+def append_batch(df: DataFrame, path: str, batch_id: str, partition_cols: Sequence[str] = SALES_PARTITIONS) -> None:
+    """Append the rows of one batch, marked as such; rows that an earlier run of the same batch left make way.
+
+    Other batches keep their rows, also in the folders that both write to. A first
+    run only adds files. A run that repeats a batch, or a part of it after a
+    failure, rewrites the folders of that batch from staged rows, so it may itself
+    be repeated.
+    """
+    spark = df.sparkSession
+    mine = df.withColumn(BATCH, F.lit(batch_id))
+    old = spark.read.parquet(path) if storage.exists(spark, path) else None
+    again = None
+    if old is not None and BATCH in old.columns:
+        again = old.filter(F.col(BATCH) == batch_id).select(*partition_cols).distinct()
+    if again is None or again.isEmpty():
+        append_partitions(mine, path, partition_cols)
+        return
+    # At most one entry a folder of the batch.
+    folders = [tuple(r) for r in again.unionByName(mine.select(*partition_cols).distinct()).distinct().toLocalIterator()]
+    scope = F.lit(True)
+    for at, name in enumerate(partition_cols):
+        values = {f[at] for f in folders}
+        known = F.coalesce(F.col(name).isin(sorted(values - {None})), F.lit(False))
+        scope = scope & (known | F.col(name).isNull() if None in values else known)
+    others = old.filter(scope & ~F.coalesce(F.col(BATCH) == batch_id, F.lit(False)))
+    replace_slice(others.unionByName(mine.select(*old.columns)), path, scope, partition_cols)
+
+
 def replace_slice(
     df: DataFrame, path: str, scope: Column, partition_cols: Sequence[str] = SALES_PARTITIONS
 ) -> None:
@@ -63,6 +103,14 @@ def replace_slice(
         storage.delete_folder(spark, staged_path)
 
 
+def replace_folder(df: DataFrame, path: str, column: str, value: str) -> None:
+    """Make ``df`` the whole content of the folder of one value; without rows the folder goes. Other folders are not touched."""
+    if df.isEmpty():
+        storage.delete_folder(df.sparkSession, f"{path.rstrip('/')}/{column}={_folder_value(df.sparkSession, value)}")
+    else:
+        overwrite_partitions(df.withColumn(column, F.lit(value)), path, (column,))
+
+
 def _folder_value(spark: SparkSession, value) -> str:
     """How Spark writes a partition value into a folder's name: null and empty have a name of their own."""
     if value is None or value == "":

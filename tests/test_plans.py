@@ -61,6 +61,38 @@ def test_history_load(spark, tmp_path):
         assert spark.read.parquet(f"{paths.fact}-undated").count() == 1
 
 
+def test_batches_that_share_a_day_keep_each_others_lines(spark, tmp_path, monkeypatch):
+    paths = daily_sales.SalesPaths(*[str(tmp_path / n) for n in ("processed", "fact", "export")])
+    salesman = spark.createDataFrame([("SM", "GT")], "salesman_code string, salesforce string")
+    product = spark.createDataFrame([("00000001", "B", "C", "K")], "product_code string, brand string, category_code string, cotc string")
+    load = lambda rows, **more: daily_sales.load_history(spark, _raw(spark, rows), salesman, product, paths, **more)
+    one = [("I1", "1", "0", "20200101", "1"), ("I2", "1", "0", "20200102", "2"), ("U1", "1", "0", None, "3")]
+    two = [("I3", "1", "0", "20200102", "4"), ("U2", "1", "0", None, "5"), ("U3", "1", "0", None, "5")]
+    first = load(one)
+    assert load(two) != first and load(list(reversed(one))) == first
+    fact = lambda: rowset(spark.read.parquet(paths.fact), "invoice_number", "time_key")
+    undated = lambda: rowset(spark.read.parquet(daily_sales.undated_path(paths)), "invoice_number")
+    assert fact() == [("I1", 20200101), ("I2", 20200102), ("I3", 20200102)] and undated() == [("U1",), ("U2",), ("U3",)]
+    assert spark.read.parquet(paths.processed).count() == 3
+    # A named batch that comes again with other lines leaves nothing of what it held.
+    load([("N1", "1", "0", "20200102", "1"), ("N2", "1", "0", "20200105", "1"), ("U4", "1", "0", None, "1")], batch_id="n")
+    load([("N1", "1", "0", "20200103", "1")], batch_id="n")
+    assert fact() == [("I1", 20200101), ("I2", 20200102), ("I3", 20200102), ("N1", 20200103)] and undated() == [("U1",), ("U2",), ("U3",)]
+    # A run that breaks off is repaired by the next.
+    whole = daily_sales.writers.append_partitions
+    monkeypatch.setattr(daily_sales.writers, "append_partitions", lambda df, path, *a: whole(df.filter("invoice_number = 'L1'"), path, *a) or (_ for _ in ()).throw(RuntimeError("lost")))
+    late = [("L1", "1", "0", "20200102", "1"), ("L2", "1", "0", "20200102", "1")]
+    with pytest.raises(RuntimeError):
+        load(late)
+    monkeypatch.setattr(daily_sales.writers, "append_partitions", whole)
+    load(late)
+    assert rowset(spark.read.parquet(paths.processed), "invoice_number") == [("I1",), ("I2",), ("I3",), ("L1",), ("L2",), ("N1",)] and len(fact()) == 6
+    # Daily loads go on over the same table.
+    daily_sales.load_day(spark, _raw(spark, [("D1", "1", "0", "20200102", "1")]), salesman, product, 20200102, paths)
+    # The day was loaded before, so its newest load makes way, as in any reload.
+    assert fact() == [("D1", 20200102), ("I1", 20200101), ("I2", 20200102), ("I3", 20200102), ("N1", 20200103)]
+
+
 @pytest.fixture(scope="module")
 def masters(spark):
     texts = lambda df, *names: df.withColumns({n: F.lit(None).cast("string") for n in names})
