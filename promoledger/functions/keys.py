@@ -81,3 +81,21 @@ def trailing_months(month_id: int | str, n: int = 3) -> list[int]:
 
 def quarter_of(month: int | str) -> str:
     return f"Quarter {(int(month) - 1) // 3 + 1}"
+
+
+# --- scopes in terms of the stored date, which files and row groups are sorted out by ---
+
+
+def day_range(date: Column | str, first: int | str, last: int | str) -> Column:
+    """The days ``first`` to ``last`` as a range of a stored date or timestamp.
+
+    Says the same as a scope on ``time_key(date)``, but on the column itself, so that
+    it reaches the scan: row groups are left out by their statistics.
+    """
+    return (_col(date) >= F.lit(parse_day(first))) & (_col(date) < F.lit(parse_day(last) + dt.timedelta(days=1)))
+
+
+def month_range(date: Column | str, first: int | str, last: int | str | None = None) -> Column:
+    """The months ``first`` to ``last`` (one month if there is no last) as a range of a stored date or timestamp."""
+    after = shift_month(last if last is not None else first, 1)
+    return (_col(date) >= F.lit(parse_day(int(first) * 100 + 1))) & (_col(date) < F.lit(parse_day(after * 100 + 1)))

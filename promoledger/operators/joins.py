@@ -64,6 +64,15 @@ def _compared_type(a: T.DataType, b: T.DataType, key: str) -> T.DataType:
     raise TypeError(f"join key {key} is {a.simpleString()} on the left and {b.simpleString()} on the right; cast one of them")
 
 
+def in_calendar(fact: DataFrame, calendar: DataFrame, key: str = "time_key") -> DataFrame:
+    """Rows of the fact on the days or months of a calendar selection.
+
+    Where ``key`` is a partition column of a stored fact and the calendar is stored
+    too, Spark evaluates the selection first and reads the folders it names alone.
+    """
+    return fact.join(calendar.select(key), key, "left_semi")
+
+
 def null_safe_semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left-semi join that lets null keys match each other."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys])

@@ -109,10 +109,15 @@ def _merged(target: DataFrame, source: DataFrame, on: Sequence[str], keep: Seque
     return seen.filter(~F.col("__new") | ~F.col("__owned")).select(*values)
 
 
-def delete_latest_batch(fact: DataFrame, first: int, last: int, ts: str = "insert_ts") -> DataFrame:
-    """All rows but those of the newest load inside the day window."""
+def delete_latest_batch(fact: DataFrame, first: int, last: int, ts: str = "insert_ts", date: str | None = None) -> DataFrame:
+    """All rows but those of the newest load inside the day window.
+
+    With the stored ``date`` that the day keys come from, the search for that load
+    reads the window's files alone.
+    """
     inside = F.col("time_key").between(first, last)
-    newest = fact.filter(inside).agg(F.max(ts)).scalar()
+    window = inside if date is None else inside & keys.day_range(date, first, last)
+    newest = fact.filter(window).agg(F.max(ts)).scalar()
     doomed = inside & (F.col(ts) == newest)
     return fact.filter(~F.coalesce(doomed, F.lit(False)))
 

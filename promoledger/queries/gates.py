@@ -69,7 +69,7 @@ def missing_dim_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts nobody sold in January 1996."""
     sold = (
         views.table(spark, sf_dir, "lineitem")
-        .filter(keys.month_key("l_shipdate") == 199601)
+        .filter(keys.month_range("l_shipdate", 199601))
         .select(F.col("l_partkey").alias("p_partkey"))
     )
     return quality.missing_keys(views.table(spark, sf_dir, "part"), sold, "p_partkey")
@@ -89,16 +89,16 @@ def missing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def presence_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products not sold in both January 1996 and January 1997."""
-    sold = views.table(spark, sf_dir, "lineitem").select(
-        views.product_code("l_partkey").alias("product_code"), keys.month_key("l_shipdate").alias("month_id")
-    )
+    def sold(month_id: int) -> DataFrame:
+        return views.table(spark, sf_dir, "lineitem").filter(keys.month_range("l_shipdate", month_id)).select(views.product_code("l_partkey").alias("product_code"))
+
     parts = views.table(spark, sf_dir, "part").select(views.product_code("p_partkey").alias("product_code"))
     return quality.presence_flags(
         parts,
         "product_code",
         {
-            "sold_in_199601": sold.filter(F.col("month_id") == 199601),
-            "sold_in_199701": sold.filter(F.col("month_id") == 199701),
+            "sold_in_199601": sold(199601),
+            "sold_in_199701": sold(199701),
         },
     )
 
@@ -230,7 +230,7 @@ def returned_invoice_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the newest load in a six-week window, per day."""
-    fact = views.table(spark, sf_dir, "lineitem").select(
+    fact = views.table(spark, sf_dir, "lineitem").filter(keys.day_range("l_shipdate", 20000115, 20000225)).select(
         keys.time_key("l_shipdate").alias("time_key"),
         keys.month_key("l_shipdate").alias("insert_ts"),
         F.year("l_shipdate").alias("update_ts"),

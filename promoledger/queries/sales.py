@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promoledger.functions import keys, parse
@@ -154,7 +154,8 @@ def site_semi_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trailing_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zero-filled three-month mean per outlet, over a year end."""
     months = keys.trailing_months(TRAILING_MONTH)
-    means = trailing_avg(views.sales_fact(spark, sf_dir), months, value="gross_sales_val")
+    fact = views.sales_fact(spark, sf_dir, keys.month_range("l_shipdate", months[0], months[-1]))
+    means = trailing_avg(fact, months, value="gross_sales_val")
     return means.select("outlet_code", ratio("avg_gross_sales_mn"))
 
 
@@ -197,7 +198,8 @@ def code_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = keys.trailing_months(TRAILING_MONTH)
-    means = trailing_avg(views.sales_fact(spark, sf_dir), months, value="gross_sales_val")
+    fact = views.sales_fact(spark, sf_dir, keys.month_range("l_shipdate", months[0], months[-1]))
+    means = trailing_avg(fact, months, value="gross_sales_val")
     return store_size_codes(means, views.store_sizes(spark))
 
 
@@ -287,18 +289,20 @@ def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
         keys.time_key("l_shipdate").alias("time_key"),
         keys.month_key("l_shipdate").alias("insert_ts"),
         views.hundredths("l_extendedprice").alias("gross_cents"),
+        "l_shipdate",
     )
 
 
 def delete_latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest load inside a window that spans a month end is deleted; what is left, per month."""
-    kept = mutation.delete_latest_batch(_batched(spark, sf_dir), 20000115, 20000210)
+    kept = mutation.delete_latest_batch(_batched(spark, sf_dir), 20000115, 20000210, date="l_shipdate")
     return kept.groupBy("insert_ts").agg(rows(), F.sum("gross_cents").alias("gross_cents"))
 
 
-def returns_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales whose returned lines refer to the latest earlier invoice of the same product and outlet nation."""
-    item = views.table(spark, sf_dir, "lineitem").select(
+def returns_fact(spark: SparkSession, sf_dir: str, scope: Column | None = None) -> DataFrame:
+    """Sales whose returned lines refer to the first invoice of the same product and month; ``scope`` is a range of whole months."""
+    stored = views.table(spark, sf_dir, "lineitem")
+    item = (stored if scope is None else stored.filter(scope)).select(
         views.text("l_orderkey").alias("invoice_number"),
         views.product_code("l_partkey").alias("product_code"),
         F.col("l_shipdate").cast("date").alias("invoice_date"),
@@ -321,7 +325,8 @@ def returns_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def restate_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returns of a month take the dates of their original invoices."""
-    restated = mutation.restate_returns(returns_fact(spark, sf_dir), month=200003)
+    months = keys.month_range("l_shipdate", keys.previous_month(200003), 200003)
+    restated = mutation.restate_returns(returns_fact(spark, sf_dir, months), month=200003)
     return restated.select(
         "invoice_number", "product_code", "time_key", "month_id", "sales_ret_ref_invoice_number", "gross_cents"
     )

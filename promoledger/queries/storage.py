@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from promoledger import schemas
 from promoledger.functions import crypto, keys
 from promoledger.operators import dims, feed
-from promoledger.operators.joins import latest_per_key
+from promoledger.operators.joins import in_calendar, latest_per_key
 from promoledger.plans import daily_sales, reference_data
 from promoledger.queries import views
 from promoledger.queries.sales import returns_fact
@@ -29,6 +29,7 @@ def _monthly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         keys.time_key("l_shipdate").alias("time_key"),
         keys.year_key("l_shipdate").alias("year_id"),
         keys.month_key("l_shipdate").alias("month_id"),
+        "l_shipdate",
     )
 
 
@@ -36,10 +37,9 @@ def month_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month of the table is reloaded with corrected values; all other months stay."""
     path = new_work_path(spark, "month-reload")
     lines = _monthly_lines(spark, sf_dir)
-    writers.append_partitions(lines, path, ("year_id", "month_id"))
-    corrected = lines.filter((F.col("month_id") == 199803) & (F.col("time_key") % 100 != 1)).withColumn(
-        "gross_cents", F.col("gross_cents") * 2
-    )
+    writers.append_partitions(lines.drop("l_shipdate"), path, ("year_id", "month_id"))
+    march = lines.filter(keys.month_range("l_shipdate", 199803)).drop("l_shipdate")
+    corrected = march.filter(F.col("time_key") % 100 != 1).withColumn("gross_cents", F.col("gross_cents") * 2)
     writers.reload_months(corrected, path, [199803])
     return spark.read.parquet(path).groupBy("month_id").agg(rows(), F.sum("gross_cents").alias("gross_cents"))
 
@@ -47,7 +47,7 @@ def month_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitioned write, dynamic overwrite of one month, read back of one partition next to the whole."""
     path = new_work_path(spark, "partitions")
-    lines = _monthly_lines(spark, sf_dir)
+    lines = _monthly_lines(spark, sf_dir).drop("l_shipdate")
     writers.overwrite_partitions(lines, path, ("year_id", "month_id"))
     negated = lines.filter(F.col("month_id") == 199702).withColumn("gross_cents", -F.col("gross_cents"))
     writers.overwrite_partitions(negated, path, ("year_id", "month_id"))
@@ -62,11 +62,21 @@ def partition_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(one, "partition").unionByName(profile(whole_table, "table"))
 
 
+def calendar_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored fact on the last months of quarters with 26 trading days or more: the calendar says which folders are read."""
+    root = new_work_path(spark, "calendar")
+    writers.append_partitions(_monthly_lines(spark, sf_dir).drop("l_shipdate"), f"{root}/fact", ("year_id", "month_id"))
+    days = dims.trading_calendar(views.dim_time(spark, sf_dir))
+    days.groupBy(F.col("year_month").alias("month_id")).agg(F.sum("trading_day").alias("trading_days")).write.parquet(f"{root}/calendar")
+    months = spark.read.parquet(f"{root}/calendar").filter((F.col("month_id") % 100 % 3 == 0) & (F.col("trading_days") >= 26))
+    return in_calendar(spark.read.parquet(f"{root}/fact"), months, "month_id").groupBy("month_id").agg(rows(), F.sum("gross_cents").alias("gross_cents"))
+
+
 def export_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven days exported to part files and read back."""
     path = new_work_path(spark, "export")
     first, last = keys.day_window(20000304, 7)
-    writers.export_window(_monthly_lines(spark, sf_dir), path, "time_key", first, last)
+    writers.export_window(_monthly_lines(spark, sf_dir), path, "time_key", first, last, date="l_shipdate")
     return spark.read.parquet(path).select("l_orderkey", "l_partkey", "time_key", "gross_cents")
 
 
@@ -232,6 +242,7 @@ QUERIES = {
     "month_reload": month_reload,
     "partition_write_read": partition_write_read,
     "export_window": export_window,
+    "calendar_scope": calendar_scope,
     "upsert_stored": upsert_stored,
     "returns_in_place": returns_in_place,
     "history_two_batches": history_two_batches,

@@ -14,6 +14,14 @@ select mid as month_id, count(*) as row_count, cast(sum(cents) as bigint) as gro
 from t group by 1
 union all
 select mid, count(*), cast(sum(cents) as bigint), 'partition' from t where mid = 199702 group by 1""",
+    "calendar_scope": f"""
+with {LN},
+days as (select cast(unnest(generate_series(min(l_shipdate), max(l_shipdate), interval 1 day)) as date) as day from lineitem),
+months as (
+  select year(day) * 100 + month(day) as mid from days where month(day) % 3 = 0
+  group by 1 having count(*) filter (dayofweek(day) <> 0) >= 26)
+select mid as month_id, count(*) as row_count, cast(sum(cents) as bigint) as gross_cents from ln where mid in (select mid from months)
+group by 1""",
     "export_window": f"""
 with {LN}
 select l_orderkey, l_partkey, tk as time_key, cents as gross_cents from ln where tk between 20000227 and 20000304""",

@@ -97,16 +97,17 @@ def category_name(number: Column) -> Column:
     return F.concat(F.lit("Category "), ((number - 1) % 5 + 1).cast("string"))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invoice lines with their outlet: the two facts joined once, on the invoice."""
+def lines(spark: SparkSession, sf_dir: str, scope: Column | None = None) -> DataFrame:
+    """Invoice lines with their outlet: the two facts joined once, on the invoice. ``scope`` is a range of the stored ship date."""
     item = table(spark, sf_dir, "lineitem")
+    item = item if scope is None else item.filter(scope)
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
     return item.join(order, item["l_orderkey"] == order["o_orderkey"])
 
 
-def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_fact(spark: SparkSession, sf_dir: str, scope: Column | None = None) -> DataFrame:
     cents, disc, tax = hundredths("l_extendedprice"), hundredths("l_discount"), hundredths("l_tax")
-    return lines(spark, sf_dir).select(
+    return lines(spark, sf_dir, scope).select(
         F.lit("VN").alias("country_code"),
         product_code("l_partkey").alias("product_code"),
         text("l_orderkey").alias("invoice_number"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promoledger import session
+from promoledger.functions import keys
 from promoledger.sources import storage
 
 SALES_PARTITIONS = ("year_id", "month_id", "time_key")
@@ -82,18 +83,18 @@ def replace_slice(
     scope that get no row are removed, which a dynamic overwrite alone never does.
     """
     spark = df.sparkSession
-    keys = list(partition_cols)
+    names = list(partition_cols)
     # Folders in scope before the change. Filtering behind the distinct makes a scope on any other
     # column an analysis error, which would otherwise take rows outside the scope along.
-    before = spark.read.parquet(path).select(*keys).distinct().filter(scope) if storage.exists(spark, path) else None
+    before = spark.read.parquet(path).select(*names).distinct().filter(scope) if storage.exists(spark, path) else None
     staged, staged_path = session.stage(df, "slice")
     try:
         stale: list[str] = []
         if before is not None:
-            after = staged.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-            same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+            after = staged.select(*[F.col(k).alias(f"__{k}") for k in names]).distinct()
+            same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in names]
             stale = [
-                "/".join([path.rstrip("/"), *[f"{k}={_folder_value(spark, row[k])}" for k in keys]])
+                "/".join([path.rstrip("/"), *[f"{k}={_folder_value(spark, row[k])}" for k in names]])
                 for row in before.join(after, same, "left_anti").toLocalIterator()
             ]
         overwrite_partitions(staged, path, partition_cols)
@@ -131,14 +132,22 @@ def write_small(df: DataFrame, path: str) -> None:
     df.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
+def in_window(df: DataFrame, key: str, first: int, last: int, date: str | None = None) -> DataFrame:
+    """Rows of a key window; with the stored date, of which days are keys, found by its range."""
+    window = df.filter(F.col(key).between(first, last))
+    return window if date is None else window.filter(keys.day_range(date, first, last)).drop(date)
+
+
 def export_window(
-    df: DataFrame, path: str, key: str, first: int, last: int, files: int | None = None
+    df: DataFrame, path: str, key: str, first: int, last: int, files: int | None = None, date: str | None = None
 ) -> None:
     """Overwrite ``path`` with the rows of a key window, leaving part files only (no success marker).
 
     With ``files`` the row count per file is even; without it AQE sizes the files.
+    With the stored ``date`` that a day key comes from, only the window's files are
+    read; that column is not exported.
     """
-    window = df.filter(F.col(key).between(first, last))
+    window = in_window(df, key, first, last, date)
     window = window.repartition(files) if files else window.hint("rebalance")
     (
         window.write.mode("overwrite")
