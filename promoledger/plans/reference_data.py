@@ -5,27 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promoledger import schemas
+from promoledger import schemas, session
 from promoledger.functions import parse
 from promoledger.operators import coded_dims, dims, io_master, quality
 from promoledger.sinks import writers
-from promoledger.sources import readers, snapshots
+from promoledger.sources import readers, snapshots, storage
 
-# name -> (contract, folder levels of the snapshot)
+# name -> (contract, folder levels of the snapshot, key columns)
 MASTER_FILES = {
-    "budget_holder": (schemas.BUDGET_HOLDER, 3),
-    "gift_master": (schemas.GIFT_MASTER, 2),
-    "io_master": (schemas.IO_MASTER, 2),
-    "local_product": (schemas.LOCAL_PRODUCT_FILE, 2),
-    "promotion_split": (schemas.PROMOTION_SPLIT, 3),
+    "budget_holder": (schemas.BUDGET_HOLDER, 3, ["budget_holder"]),
+    "gift_master": (schemas.GIFT_MASTER, 2, ["gift_code"]),
+    "io_master": (schemas.IO_MASTER, 2, ["promotion_id", "brand_code"]),
+    "local_product": (schemas.LOCAL_PRODUCT_FILE, 2, ["material"]),
+    "promotion_split": (schemas.PROMOTION_SPLIT, 3, ["year", "quarter", "channel"]),
 }
+_DAMAGED = "damaged_line"
 
 
-def conform_master(spark: SparkSession, name: str, root: str, path: str) -> None:
-    """Newest file of a master under its declared schema -> parquet."""
-    schema, levels = MASTER_FILES[name]
+def conform_master(spark: SparkSession, name: str, root: str, path: str, rejects: str | None = None, run: str = "1") -> None:
+    """Newest file of a master under its declared contract -> parquet, without the rows that do not meet it.
+
+    Those are appended to the headed CSV table ``rejects``, under the folder of this
+    ``run``, as they came and with the reasons; a run that is repeated replaces its
+    own. The file is read once.
+    """
+    schema, levels, keys = MASTER_FILES[name]
     folder = snapshots.latest_snapshot(spark, root, levels)
-    writers.write_small(readers.read_csv(spark, folder, schema), path)
+    text = schemas.as_text(schema).add(_DAMAGED, "string")
+    reader = spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE")
+    raw = reader.option("columnNameOfCorruptRecord", _DAMAGED).option("columnPruning", "false").csv(folder)
+    staged, staged_path = session.stage(schemas.judged(raw, schema, keys, F.col(_DAMAGED).isNotNull()), f"master-{name}")
+    try:
+        writers.write_small(staged.filter(F.size("reasons") == 0).select("typed.*"), path)
+        if rejects:
+            bad = staged.filter(F.size("reasons") > 0)
+            columns = [F.col(f.name) for f in schema]
+            writers.append_exceptions(bad.select(F.concat_ws("; ", "reasons").alias("reasons"), *columns), rejects, run)
+    finally:
+        storage.delete_folder(spark, staged_path)
 
 
 def conform_article(raw: DataFrame) -> DataFrame:

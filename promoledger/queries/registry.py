@@ -13,6 +13,8 @@ from promoledger.queries import (
     dimensions_sql,
     gates,
     gates_sql,
+    masters,
+    masters_sql,
     promotions,
     promotions_sql,
     sales,
@@ -28,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **gates.QUERIES,
     **storage.QUERIES,
     **controls.QUERIES,
+    **masters.QUERIES,
 }
 SQL: dict[str, str] = {
     **sales_sql.SQL,
@@ -36,4 +39,5 @@ SQL: dict[str, str] = {
     **gates_sql.SQL,
     **storage_sql.SQL,
     **controls_sql.SQL,
+    **masters_sql.SQL,
 }

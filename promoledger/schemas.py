@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +38,38 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def as_text(schema: T.StructType) -> T.StructType:
+    """The same columns, all text: how a file is read whose values are still to be judged."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+
+
+def _read_as(text: Column, kind: T.DataType) -> Column:
+    """The value of a text, null where it is none of that type; whole numbers may be written with decimals."""
+    if isinstance(kind, T.IntegerType):
+        number = F.trim(text).try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    return text if isinstance(kind, T.StringType) else F.trim(text).try_cast(kind)
+
+
+def judged(text: DataFrame, schema: T.StructType, keys: Sequence[str] = (), damaged: Column | None = None) -> DataFrame:
+    """Text rows with ``typed``, what they hold under the contract, and ``reasons`` against them, in one projection.
+
+    A reason is a column whose text is no value of its type, a key column without
+    text, or a line that is ``damaged`` as a whole. Empty text is a missing value.
+    """
+    typed, reasons = [], []
+    for f in schema:
+        given = F.when(F.trim(F.col(f.name)) != "", F.col(f.name))
+        value = _read_as(given, f.dataType)
+        typed.append(value.alias(f.name))
+        reasons.append(F.when(given.isNotNull() & value.isNull(), F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), given)))
+        if f.name in keys:
+            reasons.append(F.when(given.isNull(), F.lit(f"{f.name} is missing")))
+    if damaged is not None:
+        reasons.insert(0, F.when(damaged, F.lit("wrong number of fields")))
+    return text.select("*", F.struct(*typed).alias("typed"), F.array_compact(F.array(*reasons)).alias("reasons"))
+
+
 PROMO_FEED = struct(
     s="country calendar_year calendar_month calendar_day distributor site outlet billing_document "
     "billing_type billing_item product promotion_id promotion_desc1 promo_start_date promo_end_date "

@@ -164,6 +164,21 @@ def write_exceptions(offenders: DataFrame, path: str, mode: str = "overwrite") -
     return True
 
 
+def append_exceptions(offenders: DataFrame, path: str, run: str) -> None:
+    """Headed CSV of offending rows by run: other runs' rows stay, a run that is repeated replaces its own."""
+    spark = offenders.sparkSession
+    if offenders.isEmpty():
+        storage.delete_folder(spark, f"{path.rstrip('/')}/run={_folder_value(spark, run)}")
+        return
+    marked = offenders.withColumn("run", F.lit(run)).hint("rebalance", "run")
+    marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy("run").csv(path)
+
+
+def insert_exceptions(offenders: DataFrame, table: str) -> None:
+    """Truncate and insert into a declared table of offending rows: it holds those of the last run alone, under its own columns."""
+    offenders.select(*offenders.sparkSession.table(table).columns).hint("rebalance").write.insertInto(table, overwrite=True)
+
+
 def write_exception_table(offenders: DataFrame, path: str) -> None:
     """Truncate-and-insert table of offending rows, present even when empty."""
     offenders.hint("rebalance").write.mode("overwrite").parquet(path)
@@ -183,11 +198,18 @@ def table_ddl(name: str, schema: T.StructType, path: str, partition_cols: Sequen
 
 
 def register_table(
-    spark: SparkSession, name: str, schema: T.StructType, path: str, partition_cols: Sequence[str] = ()
+    spark: SparkSession, name: str, schema: T.StructType, path: str, partition_cols: Sequence[str] = (), statistics: Sequence[str] = ()
 ) -> DataFrame:
-    """Declare an external parquet table, pick up its partitions and compute its statistics."""
+    """Declare an external parquet table, pick up its partitions and compute its statistics.
+
+    With the names of columns in ``statistics`` their ranges, nulls and distinct
+    values are stored too; with ``spark.sql.cbo.enabled`` Spark sizes filters and
+    joins by them. Called again it finds folders that were written since.
+    """
     spark.sql(table_ddl(name, schema, path, partition_cols))
     if partition_cols:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+    if statistics:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in statistics)}")
     return spark.table(name)
