@@ -7,18 +7,22 @@ seen hold enough vectors; all of those are scored on the original vectors in
 double precision. Nearness is the inner product, so a centroid's distance is its
 negative inner product with the query's half, which adds up over halves.
 
-Centroids are fitted on a bounded sample (``SAMPLE`` vectors of smallest id hash
-share); every vector is indexed, and the number of cells follows the table's.
+Centroids are fitted on a bounded sample (about ``SAMPLE`` vectors by hash share);
+every vector is indexed, and the number of cells follows the table's. How many
+vectors are enough is measured, not assumed: about ``CALIBRATION`` of the queries
+are answered exactly first, and the walk goes so far that it meets ``TARGET`` of
+their true neighbours. Vectors in clusters need a small share of the table, those
+without structure most of it. Each length of vectors has an index of its own.
 Equal vectors are one entry with the least ids, as many as a result can name.
 Neighbouring cells form blocks, so that a query goes once to a block with the list
 of cells that it looks at there; blocks with many entries or queries are cut into
 chunks, so neither a popular cell nor a popular query lands in one task.
 
-Cases: vectors that are null, zero, or hold null or non-finite components, rows
-of null id, and vectors whose length is not the table's most frequent (the longer
-of equally frequent ones) take no part; equal scores go to the smaller id; a
-repeated row is found once and a repeated query is answered once; an empty
-table gives an empty result; other columns are not read.
+Cases: vectors that are null, zero, or hold null or non-finite components and rows
+of null id take no part; vectors of unlike length have no inner product, so each is
+searched among those of its own; equal scores go to the smaller id; a repeated row
+is found once and a repeated query is answered once; an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,10 +45,9 @@ NEAREST = 20
 SAMPLE = 32_768
 #: Centroids a half, at most; the index has this many squared cells at most.
 MOST_CENTROIDS = 1024
-#: Entries scored for a query: this share of them, LEAST_SCORED at least. Set for vectors without structure, whose
-#: twenty nearest are hardly nearer than the rest; clustered vectors reach the same recall with a fraction of it.
-SHARE = 0.5
-LEAST_SCORED = 2_000
+#: Share of the true neighbours of the calibration queries that the walk has to meet, and about how many such queries.
+TARGET = 0.95
+CALIBRATION = 256
 #: Entries of a block of cells, and queries of a block, that one task compares, about.
 CHUNK = 2048
 #: Queries whose cells one task walks through, about.
@@ -178,14 +181,85 @@ def _score(batches: Iterator[pa.RecordBatch], nearest: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
 
 
-def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", nearest: int = NEAREST, share: float = SHARE) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the nearest found for every row that the condition ``is_query`` picks."""
-    spark = rows.sparkSession
+def _exact(batches: Iterator[pa.RecordBatch], sent, nearest: int) -> Iterator[pa.RecordBatch]:
+    """For each calibration query the cells of the nearest entries among these rows, with their scores."""
+    names, wanted = sent.value
+    best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, np.int64)) for _ in names]
+    for batch in batches:
+        vectors, cells, ids = matrix(batch.column("vector")), batch.column("cell").to_numpy(), batch.column("id").to_numpy()
+        alone = batch.column("ids").value_lengths().to_numpy() == 1
+        scores = wanted @ vectors.T
+        scores[(names[:, None] == ids[None, :]) & alone[None, :]] = -np.inf
+        for q in range(len(names)):
+            kept = np.concatenate([best[q][0], scores[q]])
+            top = np.argsort(-kept, kind="stable")[:nearest]
+            best[q] = kept[top], np.concatenate([best[q][1], cells])[top]
+    for q, (scores, cells) in enumerate(best):
+        there = scores > -np.inf
+        if there.any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(int(there.sum()), q, np.int32)), pa.array(scores[there]), pa.array(cells[there])], ["query", "score", "cell"])
+
+
+def walked(query: np.ndarray, model: tuple[np.ndarray, np.ndarray], held: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """How many entries the walk of a query has met when it has been through each of the cells."""
+    middle = len(query) // 2
+    apart = (-(model[0] @ query[:middle])[:, None] - (model[1] @ query[middle:])[None, :]).ravel()
+    order = np.argsort(apart, kind="stable")
+    met = np.cumsum(held[order])
+    return met[np.searchsorted(apart[order], apart[cells], side="right") - 1]
+
+
+def _budgets(batches: Iterator[pa.RecordBatch], sent, model: tuple, held) -> Iterator[pa.RecordBatch]:
+    wanted = sent.value[1]
+    for group in sorted_groups(batches, ["query"]):
+        query = wanted[group.column("query")[0].as_py()]
+        yield pa.RecordBatch.from_arrays([pa.array(walked(query, model, held.value[0], group.column("cell").to_numpy()))], ["met"])
+
+
+def calibrated(index: DataFrame, asking: DataFrame, model: tuple, held, asked: int, nearest: int = NEAREST, target: float = TARGET, queries: int = CALIBRATION) -> int:
+    """How many entries a walk has to meet so that it finds ``target`` of the true neighbours, as measured on a sample of the queries.
+
+    A sample of about ``queries`` rows goes to all tasks, each answers it exactly for
+    its own entries, and the best of those say how far each neighbour's cell is.
+    """
+    spark = index.sparkSession
+    drawn = asking.where(hash_share("id") < queries / max(1, asked)).orderBy("id").toPandas()
+    if not len(drawn):
+        return 0
+    sent = spark.sparkContext.broadcast((drawn["id"].to_numpy(), np.stack(drawn["vector"].to_numpy()).astype(np.float64)))
+    found = index.select("cell", "id", "ids", "vector").mapInArrow(partial(_exact, sent=sent, nearest=nearest), "query int, score double, cell long")
+    best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "cell"))
+    nearest_cells_ = found.withColumn("rank", best).where(F.col("rank") <= nearest).select("query", "cell")
+    by_query = nearest_cells_.repartition("query").sortWithinPartitions("query")
+    # A number a neighbour: at most some queries times nearest.
+    met = np.sort(by_query.mapInArrow(partial(_budgets, sent=sent, model=model, held=held), "met long").toPandas()["met"].to_numpy())
+    return int(met[math.ceil(target * len(met)) - 1]) if len(met) else 0
+
+
+def search(
+    rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", nearest: int = NEAREST, share: float | None = None, target: float = TARGET
+) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the nearest found for every row that the condition ``is_query`` picks.
+
+    Every walk goes on until it has met the calibrated number of entries, or with
+    ``share`` that share of them.
+    """
     ident, vector = F.col(id_col).cast("long"), F.col(vector_col)
     usable = rows.where(usable_vector(vector, ident)).select(ident.alias("id"), vector.alias("vector"), is_query.alias("asks"))
-    lengths = usable.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("size")).limit(1).collect()
-    size = lengths[0]["size"] if lengths else 0
-    usable = usable.where(F.size("vector") == size)
+    # One entry a length: a table of embeddings has few.
+    sizes = sorted(r["size"] for r in usable.groupBy(F.size("vector").alias("size")).agg(F.max("asks").alias("asks")).where("asks").collect())
+    found = None
+    for size in sizes:
+        part = _search(usable.where(F.size("vector") == size), nearest, share, target)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return found
+
+
+def _search(usable: DataFrame, nearest: int, share: float | None, target: float) -> DataFrame:
+    """The search among vectors of one length."""
+    spark = usable.sparkSession
     key = [F.xxhash64("vector").alias("p"), F.xxhash64(F.lit(1), "vector").alias("q")]
     ids = usable.select("id", *key).distinct()
     place = F.row_number().over(Window.partitionBy("p", "q").orderBy("id"))
@@ -200,8 +274,6 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
     fitted = halves.groupBy("half").applyInPandas(partial(_fit_half, centroids=centroids_for(count)), "half int, number int, centre array<double>")
     centres = fitted.toPandas().sort_values(["half", "number"])
     schema = "query_id long, vec_id long, score double"
-    if not len(centres):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     model = tuple(np.stack(centres.loc[centres["half"] == h, "centre"].to_numpy()) for h in (0, 1))
     kind = entries.schema["vector"].dataType.simpleString()
     index, _ = stage(entries.mapInArrow(partial(_assign, model=model), f"cell long, id long, ids array<long>, vector {kind}"), "index")
@@ -216,10 +288,11 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
     held = counted(index, "cell", len(model[0]) * len(model[1]))
     block = blocks_of(held, len(model[1]))
     sent = spark.sparkContext.broadcast((held, block))
-    wanted = math.ceil(max(LEAST_SCORED, share * count))
     asking = usable.where("asks").select("id", "vector").dropDuplicates(["id"])
+    asked = asking.count()
+    wanted = math.ceil(share * count) if share is not None else calibrated(index, asking, model, sent, asked, nearest, target)
     # Few bytes but much work a query: tasks by their number, which no merging of small partitions undoes.
-    asking = asking.repartition(max(1, math.ceil(asking.count() / QUERIES_A_TASK)), "id")
+    asking = asking.repartition(max(1, math.ceil(asked / QUERIES_A_TASK)), "id")
     visits, _ = stage(
         asking.mapInArrow(partial(_visit, model=model, sent=sent, wanted=wanted), f"block long, cells array<int>, id long, vector {kind}"), "index-visits"
     )
