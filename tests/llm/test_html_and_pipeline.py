@@ -38,6 +38,32 @@ def test_structure(page, text):
     assert html_text.main_text(page, NONE) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article><h1 class="post-header">Title</h1><p>Body text</p>', "Title Body text"),
+        ('<article><div class="form-group-theory"><p>On groups</p></div></article>', "On groups"),
+        ('<article><p>a</p><div class="search-results-discussion"><p>Body one</p></div><p>b</p></article>', "a Body one b"),
+        ('<article><p class="share">of all</p><h2 id="comments">Comments on a law</h2><div class="site-footer">f</div><ul class="main-nav"><li>n</ul></article>', "of all Comments on a law"),
+        ('<article>x<div class="ad-banner">ad</div><section id="comment_list">c</section><div class="cookie-notice top">k</div>y</article>', "x y"),
+    ],
+)
+def test_parts_of_names_alone_drop_nothing(page, text):
+    assert html_text.main_text(page, NONE) == text
+
+
+def test_repeats_decide_doubtful_blocks_of_articles(spark):
+    """A block whose name only contains a telling word goes where the host's pages repeat it, and stays where they do not."""
+    shared = '<div class="post-footer-links"><p>read more of our stories on this very site every day</p></div>'
+    page = lambda i: f"<nav>Home About Us</nav><article><h1>T{i}</h1><p>own text {i}</p><div class='post-header-note'>written by the author {i} in year {i} at place {i}</div>{shared}<p>the same closing words that every author here writes at the end</p></article>"
+    rows = spark.createDataFrame([(i, "http://h.com/", page(i)) for i in range(12)], "page_id long, url string, html string")
+    for r in html_text.extract(rows).collect():
+        i = r["page_id"]
+        assert r["text"] == f"T{i} own text {i} written by the author {i} in year {i} at place {i} the same closing words that every author here writes at the end"
+    alone = html_text.extract(rows.limit(1)).collect()[0]
+    assert "our stories on this very site" in alone["text"]
+
+
 def test_windows_of_suffix_arrays_equal_a_plain_count():
     rng = np.random.default_rng(4)
     streams = [html_text.token_numbers([str(x) for x in rng.integers(0, 3, rng.integers(0, 40))]) for _ in range(30)]
