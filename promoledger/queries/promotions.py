@@ -228,7 +228,7 @@ def _build_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io_master.category_share(views.split(spark, sf_dir, False), "ALL", "ALL", views.CATEGORIES)
 
 
-def _share(spark: SparkSession, sf_dir: str) -> DataFrame:
+def category_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.layer(spark, sf_dir, "category-share", _build_share)
 
 
@@ -241,7 +241,7 @@ def _off_report(allocated: DataFrame) -> DataFrame:
 def off_invoice_perstr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perfect-store spend split by channel category share and the funding order's brands."""
     return _off_report(
-        promo.off_invoice_perstr(_off_sums(spark, sf_dir), _share(spark, sf_dir), brand_funds(spark, sf_dir))
+        promo.off_invoice_perstr(_off_sums(spark, sf_dir), category_shares(spark, sf_dir), brand_funds(spark, sf_dir))
     )
 
 
@@ -266,7 +266,7 @@ def gift_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _off_lines_allocated(spark: SparkSession, sf_dir: str, lines: DataFrame, funds: DataFrame | None = None) -> DataFrame:
     off_lines = promo.off_invoice_lines(lines, views.dim_promotion(spark), views.bridge(spark, sf_dir))
     brands = brand_funds(spark, sf_dir) if funds is None else funds
-    return promo.off_invoice_perstr(off_lines, _share(spark, sf_dir), brands).unionByName(
+    return promo.off_invoice_perstr(off_lines, category_shares(spark, sf_dir), brands).unionByName(
         promo.off_invoice_other(off_lines, brands)
     )
 

@@ -11,6 +11,8 @@ from promoledger.queries import (
     controls_sql,
     dimensions,
     dimensions_sql,
+    full_grain,
+    full_grain_sql,
     gates,
     gates_sql,
     masters,
@@ -31,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **storage.QUERIES,
     **controls.QUERIES,
     **masters.QUERIES,
+    **full_grain.QUERIES,
 }
 SQL: dict[str, str] = {
     **sales_sql.SQL,
@@ -40,4 +43,5 @@ SQL: dict[str, str] = {
     **storage_sql.SQL,
     **controls_sql.SQL,
     **masters_sql.SQL,
+    **full_grain_sql.SQL,
 }
