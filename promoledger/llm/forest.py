@@ -12,6 +12,13 @@ sampled pairs many are links, which a split would part, is compared in pairs of
 chunks, so no leaf is capped. Each vector length has levels and trees by its own
 number of rows. Equal vectors are one row throughout.
 
+Splits would part a group that owns a large share of the table, and such a group
+would keep all nodes above it from being split. So it is peeled off first: a
+sample shows pivots that many rows are near to; the rows within the bound of a
+pivot are compared to all rows within twice its angle, which is exact, and leave
+the forest. That comparison returns a count a row and the spanning links of each
+pair of chunks, no pairs.
+
 Cases: vectors that are null, zero, or hold null or non-finite components, and
 rows of null id, link with nothing and are their own component; vectors of
 different length are never linked; equal vectors are linked, also as repeated
@@ -30,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promoledger.llm.common import hash_share, matrix, sorted_groups, spread_lookup, table, usable_vector
+from promoledger.llm.common import Scratch, hash_share, matrix, sorted_groups, spread_lookup, table, usable_vector
 from promoledger.llm.components import connected_components
 from promoledger.session import stage
 
@@ -40,7 +47,10 @@ TREES = 10
 #: Chance that a level keeps such a pair together at the default spill, and the share that may be missed.
 KEPT_TOGETHER, MISSED = 0.93, 0.01
 #: A node is not split where this share of its sampled pairs are links: comparing all costs at most its inverse a link.
-DENSE, DENSE_SAMPLE = 0.02, 256
+#: Nodes of over so many leaves are split all the same.
+DENSE, DENSE_SAMPLE, DENSE_LEAVES = 0.02, 256, 64
+#: A pivot has this share of the rows within the bound, so there are its inverse of them at most; rows of the sample that shows them.
+PEEL_SHARE, PEEL_SAMPLE, PEEL_LEAST = 0.02, 4096, 20
 #: Rows of a leaf, about; one of over four times as many is split again.
 LEAF = 1024
 #: Share of a node's rows that go to both sides.
@@ -77,10 +87,10 @@ def dense(units: np.ndarray, least: float) -> bool:
     return len(some) > 1 and near >= DENSE * len(some) * (len(some) - 1)
 
 
-def fit_levels(projected: np.ndarray, spill: float = SPILL, units: np.ndarray | None = None, least: float = LEAST_COSINE, small: float = 0) -> tuple[np.ndarray, np.ndarray]:
+def fit_levels(projected: np.ndarray, spill: float = SPILL, units: np.ndarray | None = None, least: float = LEAST_COSINE, small: float = 0, large: float = math.inf) -> tuple[np.ndarray, np.ndarray]:
     """For each inner node, in heap order, below which projection rows go left and above which right.
 
-    Both are infinite, so that all rows go left, where a node is dense or has at most ``small`` of these rows.
+    Both are infinite, so that all rows go left, where a node has at most ``small`` of these rows, or is dense and has at most ``large``.
     """
     levels = projected.shape[1]
     low, high = np.zeros(1 << levels), np.zeros(1 << levels)
@@ -89,7 +99,7 @@ def fit_levels(projected: np.ndarray, spill: float = SPILL, units: np.ndarray |
         below = {}
         for at, own in rows.items():
             values = projected[own, level]
-            if len(own) <= small or units is not None and dense(units[own], least):
+            if len(own) <= small or len(own) <= large and units is not None and dense(units[own], least):
                 low[at] = high[at] = np.inf
             elif len(own):
                 low[at], high[at] = np.quantile(values, [0.5 - spill / 2, 0.5 + spill / 2])
@@ -119,7 +129,7 @@ def _fit_node(rows: pd.DataFrame, turn: int, levels: int, spill: float, leaf: in
     levels = levels if turn else min(levels, _levels(count, leaf))
     vectors = unit(np.stack(rows["vector"].to_numpy()).astype(np.float64))
     small = leaf * len(rows) / count
-    low, high = fit_levels(vectors @ directions(tree, turn, size, levels), spill, vectors, least, small)
+    low, high = fit_levels(vectors @ directions(tree, turn, size, levels), spill, vectors, least, small, DENSE_LEAVES * small)
     return pd.DataFrame({"tree": [tree], "size": [size], "node": [node], "low": [low], "high": [high]})
 
 
@@ -246,6 +256,115 @@ def links(values: DataFrame, least: float = LEAST_COSINE, trees: int = TREES, le
     return grouped.mapInArrow(partial(_compare, least=least), _PAIRS).distinct()
 
 
+def pivots(units: np.ndarray, least: float) -> np.ndarray:
+    """Rows of a sample that ``PEEL_SHARE`` of it are near to, each near to none before it."""
+    wanted = max(PEEL_LEAST, PEEL_SHARE * len(units))
+    near = units @ units.T >= least
+    left, found = np.ones(len(units), bool), []
+    while left.any():
+        counts = (near & left).sum(axis=1) * left
+        best = int(counts.argmax())
+        if counts[best] < wanted:
+            break
+        found.append(best)
+        left &= ~near[best]
+    return units[found]
+
+
+def _peel(batches: Iterator[pa.RecordBatch], sent, least: float) -> Iterator[pa.RecordBatch]:
+    """Each row once for every pivot at whose comparison it takes part, and once (pivot -1) for the forest if no pivot owns it.
+
+    A row belongs to the first pivot it is within the bound of, and takes part at
+    that and the pivots before it; one that belongs to none takes part at all.
+    """
+    reach = 2 * least * least - 1 - 1e-9
+    for whole in batches:
+        sizes = np.asarray(whole.column("size"))
+        for size in np.unique(sizes).tolist():
+            batch = whole.filter(pa.array(sizes == size))
+            centres = sent.value.get(size)
+            every = np.arange(batch.num_rows)
+            if centres is None:
+                row, pivot, inner = every, np.full(len(every), -1), np.zeros(len(every), bool)
+            else:
+                cosine = unit(matrix(batch.column("vector"))) @ centres.T
+                inside = cosine >= least
+                owner = np.where(inside.any(axis=1), inside.argmax(axis=1), len(centres))
+                row, pivot = np.nonzero((cosine >= reach) & (np.arange(len(centres)) <= owner[:, None]))
+                free = np.flatnonzero(owner == len(centres))
+                inner = np.concatenate([owner[row] == pivot, np.zeros(len(free), bool)])
+                row, pivot = np.concatenate([row, free]), np.concatenate([pivot, np.full(len(free), -1)])
+            part = batch.take(pa.array(row, pa.int64()))
+            columns = [pa.array(pivot.astype(np.int32)), pa.array(inner), *[part.column(c) for c in ("id", "copies", "vector", "size")]]
+            yield pa.RecordBatch.from_arrays(columns, ["pivot", "inner", "id", "copies", "vector", "size"])
+
+
+def spanning(near: np.ndarray) -> np.ndarray:
+    """For the two sides of a bipartite graph, first side first: the number of each node's component, its least node."""
+    first, second = near.shape
+    root = np.full(first + second, -1)
+    for start in range(first + second):
+        if root[start] >= 0:
+            continue
+        root[start] = start
+        waiting = [start]
+        while waiting:
+            at = waiting.pop()
+            reached = np.flatnonzero(near[at]) + first if at < first else np.flatnonzero(near[:, at - first])
+            fresh = reached[root[reached] < 0]
+            root[fresh] = start
+            waiting.extend(fresh.tolist())
+    return root
+
+
+def _balls(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Counts and spanning links between a chunk of a pivot's own rows and a chunk of all that may be near to them."""
+    for group in sorted_groups(batches, ["size", "pivot", "first", "second"]):
+        role, inner, ids, copies = (np.asarray(group.column(c)) for c in ("role", "inner", "id", "copies"))
+        units = unit(matrix(group.column("vector")))
+        own, other = np.flatnonzero(role), np.flatnonzero(~role)
+        if not len(own) or not len(other):
+            continue
+        cosine = units[own] @ units[other].T
+        i, j = np.nonzero(np.abs(cosine - least) < 1e-9)
+        cosine[i, j] = np.einsum("ij,ij->i", units[own[i]], units[other[j]])
+        near = (cosine >= least) & (ids[own][:, None] != ids[other][None, :])
+        # A row of the pivot's own counts when it is on the first side, any other on the second.
+        counted = np.concatenate([near @ copies[other], np.where(inner[other], 0, copies[own] @ near)])
+        node = ids[np.concatenate([own, other])]
+        root = node[spanning(near)]
+        told = (counted > 0) | (root != node)
+        yield pa.RecordBatch.from_arrays([pa.array(node[told]), pa.array(counted[told].astype(np.int64)), pa.array(root[told])], ["id", "n", "root"])
+
+
+def peeled(values: DataFrame, scratch: Scratch, least: float = LEAST_COSINE, leaf: int = LEAF) -> tuple[DataFrame, DataFrame | None]:
+    """The rows left for the forest, and ``id, n, root`` of what the pivots' rows link to, if there are pivots."""
+    spark = values.sparkSession
+    found: dict[int, np.ndarray] = {}
+    for row in values.groupBy("size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf).collect():
+        drawn = values.where((F.col("size") == row["size"]) & (hash_share("id") < PEEL_SAMPLE / row["n"])).orderBy("id").select("vector").toPandas()
+        centres = pivots(unit(np.stack(drawn["vector"].to_numpy()).astype(np.float64)), least) if len(drawn) else ()
+        if len(centres):
+            found[row["size"]] = centres
+    if not found:
+        return values, None
+    kind = values.schema["vector"].dataType.simpleString()
+    sent = spark.sparkContext.broadcast(found)
+    rows = scratch.stage(values.select("id", "copies", "vector", "size").mapInArrow(partial(_peel, sent=sent, least=least), f"pivot int, inner boolean, id long, copies long, vector {kind}, size int"), "peeled")
+    taking = rows.where(F.col("pivot") >= 0)
+    keys = ["size", "pivot"]
+    sizes = scratch.stage(taking.groupBy(*keys).agg(F.ceil(F.count_if("inner") / CHUNK).cast("int").alias("firsts"), F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("seconds")), "pivots")
+    marked = taking.join(sizes, keys)
+    chunk = lambda count: F.pmod(F.xxhash64("id"), F.greatest(F.col(count), F.lit(1))).cast("int")
+    to = lambda count: F.explode(F.sequence(F.lit(0), F.greatest(F.col(count), F.lit(1)) - 1))
+    own = marked.where("inner").withColumn("first", chunk("firsts")).withColumn("second", to("seconds")).withColumn("role", F.lit(True))
+    other = marked.withColumn("second", chunk("seconds")).withColumn("first", to("firsts")).withColumn("role", F.lit(False))
+    order = [*keys, "first", "second"]
+    dealt = own.unionByName(other).select(*order, "role", "inner", "id", "copies", "vector").repartition(*order).sortWithinPartitions(*order)
+    linked = scratch.stage(dealt.mapInArrow(partial(_balls, least=least), "id long, n long, root long"), "pivot-links")
+    return rows.where(F.col("pivot") < 0).select("id", "copies", "vector", "size"), linked
+
+
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST_COSINE, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
     """``id, n_links, component`` of every row."""
     ident, vector = F.col(id_col).cast("long"), F.col(vector_col)
@@ -256,14 +375,20 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     equal = usable.where("ok").groupBy(F.struct(F.xxhash64("vector").alias("p"), F.xxhash64(F.lit(1), "vector").alias("q")).alias("key")).agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")
     )
-    values, _ = stage(equal.withColumn("size", F.size("vector")), "vectors")
-    pairs, _ = stage(links(values, least, trees, leaf, spill), "vector-links")
+    scratch = Scratch(rows.sparkSession)
+    values = scratch.stage(equal.withColumn("size", F.size("vector")), "vectors")
+    left, balls = peeled(values, scratch, least, leaf)
+    pairs = scratch.stage(links(left, least, trees, leaf, spill), "vector-links")
     both = pairs.select(F.col("a").alias("id"), F.col("copies_b").alias("n")).unionAll(pairs.select(F.col("b").alias("id"), F.col("copies_a").alias("n")))
+    edges = pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    if balls is not None:
+        both = both.unionAll(balls.select("id", "n"))
+        edges = edges.unionAll(balls.where(F.col("id") != F.col("root")).select(F.col("root").alias("src"), F.col("id").alias("dst")))
     degree = both.groupBy("id").agg(F.sum("n").alias("n"))
-    roots = connected_components(pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"))).select(F.col("node").alias("id"), "root")
+    roots = connected_components(edges).select(F.col("node").alias("id"), "root")
     known = values.select("key", "id", "copies").join(degree, "id", "left").join(roots, "id", "left").where(F.col("root").isNotNull() | (F.col("copies") > 1))
     lookup = known.select("key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "id").alias("component"))
-    found = spread_lookup(named, stage(lookup, "vector-components")[0], ["key"])
+    found = spread_lookup(named, scratch.result(lookup, "vector-components"), ["key"])
     return found.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component"))
 
 
