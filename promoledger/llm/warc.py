@@ -213,8 +213,9 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
 
     same = (F.col("origin") == F.col("id")) & F.col("origin").isNotNull()
     dealt = records.withColumn("revisit", F.col("origin").isNotNull() & ~F.coalesce(same, F.lit(False))).withColumn("shard", shard_of("id"))
-    # Equal ids and payloads lie side by side in one shard: all but the first of them are revisits too.
-    sorted_rows = dealt.repartition(max(1, len(bounds) + 1), "shard").sortWithinPartitions("shard", F.col("id").asc_nulls_last(), "digest", "url")
+    # A task a shard: dealt by its number itself, as hashes of few numbers collide. Equal ids and payloads lie side by side in
+    # one shard: all but the first of them are revisits too.
+    sorted_rows = dealt.repartitionById(max(1, len(bounds) + 1), "shard").sortWithinPartitions("shard", F.col("id").asc_nulls_last(), "digest", "url")
     written = sorted_rows.select("shard", "id", "url", "payload", "digest", "size", "origin", "revisit").mapInArrow(
         partial(_mark_and_write, folder=folder, limit=file_bytes), MANIFEST
     )
@@ -333,7 +334,8 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """Records of all files that the manifest of ``folder`` names, one task a file; a revisit's payload is null."""
     names = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("name", "bytes")
     count = max(1, names.count())
-    return names.repartition(count, "name").mapInArrow(partial(_read_files, folder=folder), READ)
+    # One short row a file; dealt out in turn from one place, so that no task gets two.
+    return names.coalesce(1).repartition(count).mapInArrow(partial(_read_files, folder=folder), READ)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

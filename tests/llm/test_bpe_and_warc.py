@@ -5,6 +5,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from check_queries import normalise
 from promoledger.llm import bpe, warc
@@ -120,3 +121,19 @@ def test_empty_archive(spark, tmp_path):
     folder = str(tmp_path / "none")
     warc.write_archive(pages(spark).limit(0), folder)
     assert warc.read_archive(spark, folder).count() == 0
+
+
+def test_every_shard_has_a_task_of_its_own(spark, tmp_path):
+    rows = spark.range(4000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h/"), F.col("id")).alias("url"), F.concat(F.lit("page "), F.sha2(F.col("id").cast("string"), 512)).alias("html"))
+    seen = []
+    real = warc.range_bounds
+    try:
+        warc.range_bounds = lambda *a, **k: seen.append(real(*a, **k)) or seen[-1]
+        manifest = warc.write_archive(rows, str(tmp_path / "a"), file_bytes=1 << 30, shard_bytes=40_000)
+    finally:
+        warc.range_bounds = real
+    shards = len(seen[0]) + 1
+    assert shards >= 8 and manifest.count() == shards
+    records = warc.read_archive(spark, str(tmp_path / "a"))
+    sizes = [n for n in records.rdd.glom().map(len).collect() if n]
+    assert len(sizes) == shards and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
