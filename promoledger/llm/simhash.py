@@ -82,9 +82,17 @@ def block_keys(fp: Column) -> Column:
     return F.array(*keys)
 
 
-def part_keys(fp: Column) -> Column:
-    """The eight bytes of a fingerprint, numbered: two that differ in three bits at most agree on five or more."""
-    return F.array(*[F.struct(F.lit(i).alias("at"), F.shiftrightunsigned(fp, 8 * i).bitwiseAND(F.lit(255)).alias("byte")) for i in range(8)])
+def part_keys(fp: Column, number: Column) -> Column:
+    """The bits that the key of that number leaves open, in four parts: two fingerprints of one key that differ in three bits at most agree on a part."""
+    lows = [sum(BLOCKS[:i]) for i in range(len(BLOCKS))]
+    choices = []
+    for chosen in combinations(range(len(BLOCKS)), len(BLOCKS) - MOST_BITS):
+        open_bits = [low + bit for i, (low, size) in enumerate(zip(lows, BLOCKS, strict=True)) if i not in chosen for bit in range(size)]
+        masks = [sum(1 << bit for bit in open_bits[at :: MOST_BITS + 1]) for at in range(MOST_BITS + 1)]
+        masks = [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
+        choices.append(F.array(*[F.lit(mask).cast("long") for mask in masks]))
+    masks = F.element_at(F.array(*choices), number + 1)
+    return F.transform(masks, lambda mask, at: F.struct(at.alias("at"), fp.bitwiseAND(mask).alias("bits")))
 
 
 def star_links(values: np.ndarray, most: int = MOST_BITS) -> list[tuple[int, int]]:
@@ -161,18 +169,20 @@ def link_distinct(values: DataFrame) -> DataFrame:
     """Links ``src, dst`` that join distinct fingerprints ``fp`` into the components of "three bits apart or less".
 
     Keys of more than ``LARGE`` fingerprints come back as names; their rows are
-    dealt out again under key and byte, eight keys each, and compared there, so
-    that a hot key is spread over many tasks and none is dropped.
+    dealt out again by the bits that the key leaves open, in four parts, one of
+    which close fingerprints share, and compared there. So a hot key is spread
+    over many tasks and none is dropped.
     """
     keyed = values.select("fp", F.explode(block_keys(F.col("fp"))).alias("key"))
     schema = "src long, dst long"
     sorted_keys = keyed.repartition("key").sortWithinPartitions("key")
     first, _ = stage(sorted_keys.mapInArrow(partial(_compare, large=LARGE), schema), "simhash-links")
     large = first.where(F.col("dst").isNull()).select(F.col("src").alias("key"))
-    hot = keyed.join(large, "key", "left_semi").select(F.col("key").alias("block"), "fp", F.explode(part_keys(F.col("fp"))).alias("part"))
-    finer = hot.select(F.xxhash64("block", "part.at", "part.byte").alias("key"), "fp").repartition("key").sortWithinPartitions("key")
     links = first.where(F.col("dst").isNotNull())
     if large.limit(1).count():
+        numbered = values.select("fp", F.posexplode(block_keys(F.col("fp"))).alias("number", "key"))
+        parts = numbered.join(large, "key", "left_semi").select("key", "fp", F.explode(part_keys(F.col("fp"), F.col("number"))).alias("part"))
+        finer = parts.select(F.xxhash64("key", "part.at", "part.bits").alias("key"), "fp").repartition("key").sortWithinPartitions("key")
         links = links.unionByName(finer.mapInArrow(partial(_compare, large=None), schema))
     return links.distinct()
 

@@ -93,6 +93,22 @@ def test_links_join_all_that_three_bits_part(spark, monkeypatch, large):
     assert len(links) < 20 * len(values)
 
 
+def test_a_hot_key_is_dealt_by_the_bits_it_leaves_open(spark):
+    """Fingerprints that agree on three blocks: each part of the others spreads them, and close ones meet in one."""
+    rng = np.random.default_rng(4)
+    low = sum(simhash.BLOCKS[:3])
+    values = np.unique(rng.integers(0, 1 << 31, 5000) << low) | 5
+    near = np.unique(values[:300] ^ (np.int64(1) << (low + rng.integers(0, 31, 300))) ^ (np.int64(1) << (low + rng.integers(0, 31, 300))))
+    rows = spark.createDataFrame([(int(v),) for v in np.unique(np.concatenate([values, near]))], "fp long")
+    parts = rows.select(F.explode(simhash.part_keys(F.col("fp"), F.lit(0))).alias("part"))
+    sizes = parts.groupBy("part.at", "part.bits").count()
+    # Four parts of seven or eight bits: hundreds of groups, none of a large share of the rows.
+    assert sizes.count() > 500 and sizes.agg(F.max("count")).first()[0] < 0.05 * rows.count()
+    codes = {r["fp"]: {(p["at"], p["bits"]) for p in r["parts"]} for r in rows.select("fp", simhash.part_keys(F.col("fp"), F.lit(0)).alias("parts")).collect()}
+    pairs = [(a, b) for a in near.tolist() for b in values.tolist() if 0 < ((a ^ b) & (2**64 - 1)).bit_count() <= 3]
+    assert len(pairs) >= 250 and all(codes[a] & codes[b] for a, b in pairs)
+
+
 def test_simhash_edges(spark):
     rows = simhash.near_duplicates(edge_docs(spark)).collect()
     assert len(rows) == edge_docs(spark).count()
