@@ -12,11 +12,10 @@ from promoledger.queries.shape import rows, total, whole
 
 
 def trading_days_without_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trading days without an urgent, fully discounted return."""
-    item = views.lines(spark, sf_dir).filter(
-        (F.col("l_returnflag") == "R") & (F.col("o_orderpriority") == "1-URGENT") & (F.col("l_discount") >= 0.08)
-    )
-    fact = item.select(keys.time_key("l_shipdate").alias("time_key"))
+    """Trading days without a line where those of every 13th are booked a day late."""
+    shipped = F.col("l_shipdate").cast("date")
+    booked = F.when(F.dayofmonth(shipped) == 13, F.date_add(shipped, 1)).otherwise(shipped)
+    fact = views.table(spark, sf_dir, "lineitem").select(keys.time_key(booked).alias("time_key"))
     return quality.trading_days_without_sales(dims.trading_calendar(views.dim_time(spark, sf_dir)), fact)
 
 
@@ -104,17 +103,19 @@ def presence_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brands_missing_in_masters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Funded brands that a cleaned-up local hierarchy or article master no longer holds."""
-    local = views.local_product(spark, sf_dir).filter(F.col("category") != "Category 2")
-    article = views.article(spark, sf_dir).filter(F.col("PH4_description") != "Market 3")
+    """Funded brands that the local hierarchy or the article master hold under another code."""
+    retired = lambda gone: F.when(gone, F.concat(F.lit("old "), F.col("PH7_code"))).otherwise(F.col("PH7_code"))
+    local = views.local_product(spark, sf_dir).withColumn("PH7_code", retired(F.col("category") == "Category 2"))
+    article = views.article(spark, sf_dir).withColumn("PH7_code", retired(F.col("PH4_description") == "Market 3"))
     return quality.brands_missing_in_masters(
         views.promos(spark, sf_dir), views.dim_promotion(spark), views.io(spark, sf_dir), local, article
     )
 
 
 def unknown_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Promotion types missing from a promotion dimension without display types."""
-    known = views.dim_promotion(spark).filter(F.col("promo_summarized") != "DISPLAY")
+    """Promotion types missing from a promotion dimension that names display types otherwise."""
+    renamed = F.when(F.col("promo_summarized") == "DISPLAY", F.concat(F.lit("D_"), F.col("promotion_type"))).otherwise(F.col("promotion_type"))
+    known = views.dim_promotion(spark).withColumn("promotion_type", renamed)
     return quality.unknown_types(views.promos(spark, sf_dir), known)
 
 
@@ -147,12 +148,9 @@ def type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_salesman(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines whose salesman is not among the suppliers in credit."""
-    salesman = (
-        views.table(spark, sf_dir, "supplier")
-        .filter(F.col("s_acctbal") >= 0)
-        .select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("salesforce"))
-    )
+    """Lines whose salesman the master knows under another code, as it does those in debt."""
+    code = F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey")).otherwise(-F.col("s_suppkey"))
+    salesman = views.table(spark, sf_dir, "supplier").select(code.alias("l_suppkey"), F.col("s_name").alias("salesforce"))
     joined = views.table(spark, sf_dir, "lineitem").join(salesman, "l_suppkey", "left")
     return quality.null_count(joined, "salesforce")
 

@@ -1,7 +1,7 @@
 """SQL counterparts of the gate queries."""
 
 from promoledger.queries.promotions_sql import BRANDS, BRIDGE, OFF, ON, PROMOS
-from promoledger.queries.sales_sql import LN, LO
+from promoledger.queries.sales_sql import LN
 
 ON_TYPES = "('LTYPRG', 'DTRDIS', 'BASKET')"
 
@@ -12,13 +12,13 @@ layers as (
 """
 
 SQL = {
-    "trading_days_without_sales": f"""
-with {LO},
-days as (
-  select cast(unnest(generate_series(min(l_shipdate), max(l_shipdate), interval 1 day)) as date) as day from lineitem)
+    "trading_days_without_sales": """
+with days as (
+  select cast(unnest(generate_series(min(l_shipdate), max(l_shipdate), interval 1 day)) as date) as day from lineitem),
+booked as (
+  select distinct case when day(l_shipdate) = 13 then cast(l_shipdate as date) + 1 else cast(l_shipdate as date) end as day from lineitem)
 select cast(strftime(day, '%Y%m%d') as integer) as time_key from days
-where dayofweek(day) <> 0 and cast(strftime(day, '%Y%m%d') as integer) not in (
-  select tk from lo where rf = 'R' and o_orderpriority = '1-URGENT' and dp >= 8)""",
+where dayofweek(day) <> 0 and day not in (select day from booked)""",
     "multi_distributor_sites": f"""
 with {LN},
 s as (select *, cast(l_partkey as varchar) || '-' || cast(mid as varchar) as site_code from ln),

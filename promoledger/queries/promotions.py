@@ -80,9 +80,10 @@ def harmonize_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loyalty_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loyalty lines after de-duplication: one valued row per invoice and funding id."""
-    deduped = feed.dedupe_loyalty(views.promos(spark, sf_dir))
-    return deduped.filter(F.col("promotion_type") == "LTYPRG").select(
+    """All lines after de-duplication: of loyalty one valued row per invoice and funding id, the others as they were."""
+    deduped = feed.dedupe_loyalty(views.processed_promos(spark, sf_dir))
+    return deduped.select(
+        "promotion_type",
         "invoice_no",
         "IO",
         "product_code",

@@ -190,7 +190,7 @@ firsts as (
           row_number() over (partition by l_orderkey, io order by product_code) as pn
         from lty group by 1, 2, 3)
   where pn = 1)
-select cast(t.l_orderkey as varchar) as invoice_no, t.io as "IO", product_code,
+select 'LTYPRG' as promotion_type, cast(t.l_orderkey as varchar) as invoice_no, t.io as "IO", product_code,
   cast(l_linenumber as varchar) as billing_item, promotion_id, tk as time_key,
   cast(round(sum(case when rn = 1 then f.vbd else 0 end)) as bigint) as value_based_promo_disc,
   cast(round(sum(case when rn = 1 then f.hld else 0 end)) as bigint) as header_lvl_disc,
@@ -198,7 +198,11 @@ select cast(t.l_orderkey as varchar) as invoice_no, t.io as "IO", product_code,
   cast(round(sum(case when rn = 1 then f.value else 0 end)) as bigint) as promotion_value,
   cast(sum(cs) as bigint) as free_qty_in_cs, cast(sum(pc) as bigint) as free_qty_in_pc
 from lty t left join firsts f on f.l_orderkey = t.l_orderkey and f.io = t.io
-group by t.l_orderkey, t.io, product_code, l_linenumber, promotion_id, tk, l_suppkey, outlet_code, mech""",
+group by t.l_orderkey, t.io, product_code, l_linenumber, promotion_id, tk, l_suppkey, outlet_code, mech
+union all
+select ptype, cast(l_orderkey as varchar), io, product_code, cast(l_linenumber as varchar), promotion_id, tk, cast(round(vbd) as bigint),
+  cast(round(hld) as bigint), cast(round(fqv) as bigint), cast(round(value) as bigint), cast(cs as bigint), cast(pc as bigint)
+from promos where ptype <> 'LTYPRG'""",
     "bridge_channel": f"""
 with {BRIDGE}
 select channel, count(*) as outlets from bridge group by 1""",

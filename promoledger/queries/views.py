@@ -346,11 +346,13 @@ def split(spark: SparkSession, sf_dir: str, by_period: bool) -> DataFrame:
 
 
 def gift_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price list from early sales: unit price of an item under the scheme of its line."""
-    item = table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate") < F.lit("1995-10-01").cast("timestamp_ntz"))
+    """Price list from all sales: unit price of an item under the scheme of its line; later prices stand under new item codes."""
+    item = table(spark, sf_dir, "lineitem")
+    early = F.col("l_shipdate") < F.lit("1995-10-01").cast("timestamp_ntz")
+    code = product_code("l_partkey")
     return item.select(
         scheme().alias("scheme_id"),
-        product_code("l_partkey").alias("item_code"),
+        F.when(early, code).otherwise(F.concat(F.lit("new "), code)).alias("item_code"),
         F.floor(hundredths("l_extendedprice") / F.col("l_quantity")).cast("double").alias("price_vnd"),
     )
 
