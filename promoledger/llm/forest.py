@@ -50,7 +50,9 @@ KEPT_TOGETHER, MISSED = 0.93, 0.01
 #: Nodes of over so many leaves are split all the same.
 DENSE, DENSE_SAMPLE, DENSE_LEAVES = 0.02, 256, 64
 #: A pivot has this share of the rows within the bound, so there are its inverse of them at most; rows of the sample that shows them.
-PEEL_SHARE, PEEL_SAMPLE, PEEL_LEAST = 0.02, 4096, 20
+PEEL_SHARE, PEEL_SAMPLE, PEEL_LEAST = 0.005, 4096, 20
+#: Rows of a chunk of a pivot's comparison while there are few chunks, and how many are few.
+PIECE, PIECES = 256, 8
 #: Rows of a leaf, about; one of over four times as many is split again.
 LEAF = 1024
 #: Share of a node's rows that go to both sides.
@@ -353,7 +355,8 @@ def peeled(values: DataFrame, scratch: Scratch, least: float = LEAST_COSINE, lea
     rows = scratch.stage(values.select("id", "copies", "vector", "size").mapInArrow(partial(_peel, sent=sent, least=least), f"pivot int, inner boolean, id long, copies long, vector {kind}, size int"), "peeled")
     taking = rows.where(F.col("pivot") >= 0)
     keys = ["size", "pivot"]
-    sizes = scratch.stage(taking.groupBy(*keys).agg(F.ceil(F.count_if("inner") / CHUNK).cast("int").alias("firsts"), F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("seconds")), "pivots")
+    chunks = lambda count: F.greatest(F.ceil(count / CHUNK), F.least(F.ceil(count / PIECE), F.lit(PIECES))).cast("int")
+    sizes = scratch.stage(taking.groupBy(*keys).agg(chunks(F.count_if("inner")).alias("firsts"), chunks(F.count(F.lit(1))).alias("seconds")), "pivots")
     marked = taking.join(sizes, keys)
     chunk = lambda count: F.pmod(F.xxhash64("id"), F.greatest(F.col(count), F.lit(1))).cast("int")
     to = lambda count: F.explode(F.sequence(F.lit(0), F.greatest(F.col(count), F.lit(1)) - 1))
