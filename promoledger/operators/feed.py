@@ -9,6 +9,7 @@ from promoledger.functions import keys, parse, rules
 from promoledger.operators.joins import first_per_group, spread_join
 from promoledger.sources.readers import control_rows, report_rows
 
+# Column names of the export and the names that the layers use for them: fixed by the feed contract.
 _MEASURES = [
     "value_based_promo_disc",
     "header_lvl_disc",

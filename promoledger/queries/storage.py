@@ -124,6 +124,38 @@ def returns_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("year_id", "month_id", "time_key").agg(rows(), F.sum("gross_cents").alias("gross_cents"), returned)
 
 
+def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three daily loads and a reload of the last: conform, enrich, merge, restate returns, export; the fact and what was exported.
+
+    Brands are the products, lines the invoices; a return refers to the first sale
+    of its brand in the month, which the job knows if it was loaded by then.
+    """
+    root = new_work_path(spark, "daily")
+    paths = daily_sales.SalesPaths(*[f"{root}/{layer}" for layer in ("processed", "fact", "export")])
+    part = views.table(spark, sf_dir, "part").select("p_partkey", views.brand_number().alias("brand"))
+    item = views.table(spark, sf_dir, "lineitem").join(part, F.col("p_partkey") == F.col("l_partkey"))
+    lines = item.select(
+        F.concat_ws("-", views.text("l_orderkey"), views.text("l_linenumber")).alias("invoice"), "brand", "l_returnflag", views.text("l_suppkey").alias("supplier"),
+        F.col("l_shipdate").cast("date").alias("day"), views.hundredths("l_extendedprice").alias("cents"), keys.month_key("l_shipdate").alias("month"),
+    )
+    first = lines.filter(F.col("l_returnflag") != "R").groupBy("brand", "month").agg(F.min(F.struct("day", "invoice")).alias("first"))
+    returned = (F.col("l_returnflag") == "R") & F.col("first").isNotNull()
+    day = lambda fmt: F.date_format("day", fmt)
+    text = lines.join(first, ["brand", "month"], "left").select(
+        F.lit("VN").alias("CountryCode"), F.lpad(views.text("brand"), 18, "0").alias("ArticleCode"), F.col("invoice").alias("InvoiceNumber"), F.col("supplier").alias("SiteCode"),
+        F.col("supplier").alias("SalesmanCode"), F.when(returned, F.col("first.invoice")).otherwise("0").alias("SalesReturnReferenceInvoiceNumber"), F.col("day").alias("InvoiceDate"),
+        views.text("cents").alias("GrossSalesValue"), day("yyyy").alias("YYYY"), day("MM").alias("MM"), day("dd").alias("DD"),
+    )
+    raw, _ = stage(schemas.conform(text, schemas.RAW_INVOICE_LINES), "raw-lines")
+    salesman = views.table(spark, sf_dir, "supplier").select(views.text("s_suppkey").alias("salesman_code"), F.concat(F.lit("SF"), views.text("s_nationkey")).alias("salesforce"))
+    product = part.select(F.lpad(views.text("brand"), 8, "0").alias("product_code"), F.concat(F.lit("B"), views.text("brand")).alias("brand"), F.lit("C").alias("category_code"), F.lit("K").alias("cotc"))
+    for run, load in enumerate((20000301, 20000302, 20000303, 20000303)):
+        daily_sales.load_day(spark, raw, salesman, product, load, paths, batch_ts=F.lit(f"2000-03-0{run + 1} 12:00:00").cast("timestamp"))
+    shown = ["invoice_number", "product_code", "time_key", "month_id", F.round("gross_sales_val").cast("long").alias("gross_value"), "salesforce", "brand_cat_core", F.dayofmonth("insert_ts").alias("run")]
+    fact = spark.read.parquet(paths.fact).select(*shown, F.lit("fact").alias("layer"))
+    return fact.unionByName(spark.read.parquet(paths.export).select(*shown, F.lit("export").alias("layer")))
+
+
 def history_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two backfills that share all months, the first run again: rows by batch and month, undated lines of both without one."""
     root = new_work_path(spark, "history")
@@ -245,6 +277,7 @@ QUERIES = {
     "calendar_scope": calendar_scope,
     "upsert_stored": upsert_stored,
     "returns_in_place": returns_in_place,
+    "daily_job": daily_job,
     "history_two_batches": history_two_batches,
     "pii_roundtrip": pii_roundtrip,
     "snapshot_master": snapshot_master,

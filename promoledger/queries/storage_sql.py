@@ -59,6 +59,23 @@ stored as (
 select cast(floor(tk / 10000) as integer) as year_id, cast(floor(tk / 100) as integer) as month_id, tk as time_key,
   count(*) as row_count, cast(sum(cents) as bigint) as gross_cents, count(*) filter (ref <> '0') as returned_rows
 from stored group by tk""",
+    "daily_job": f"""
+with {LN},
+t as (
+  select cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as invoice, cast(substring(p_brand, 7) as integer) as brand, rf, tk, mid,
+    cents, l_suppkey from ln join part on p_partkey = l_partkey),
+firsts as (
+  select brand, mid, tk as first_tk from (
+    select *, row_number() over (partition by brand, mid order by tk, invoice) as rn from t where rf <> 'R') where rn = 1),
+loaded as (
+  select t.*, case when rf = 'R' and first_tk <= tk then first_tk else tk end as booked
+  from t left join firsts using (brand, mid) where tk between 20000301 and 20000303),
+fact as (
+  select invoice as invoice_number, lpad(cast(brand as varchar), 8, '0') as product_code, booked as time_key, mid as month_id,
+    cents * 100 as gross_value, 'SF' || cast(s_nationkey as varchar) as salesforce, 'B' || cast(brand as varchar) || '_C_K' as brand_cat_core,
+    cast(case when tk = 20000303 then 4 else tk - 20000300 end as integer) as run
+  from loaded left join supplier on s_suppkey = l_suppkey)
+select *, 'fact' as layer from fact union all select *, 'export' from fact""",
     "history_two_batches": f"""
 with {LN},
 t as (

@@ -70,6 +70,8 @@ def judged(text: DataFrame, schema: T.StructType, keys: Sequence[str] = (), dama
     return text.select("*", F.struct(*typed).alias("typed"), F.array_compact(F.array(*reasons)).alias("reasons"))
 
 
+# Names and types below are fixed by the contracts of the files and facts.
+
 PROMO_FEED = struct(
     s="country calendar_year calendar_month calendar_day distributor site outlet billing_document "
     "billing_type billing_item product promotion_id promotion_desc1 promo_start_date promo_end_date "
