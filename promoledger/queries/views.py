@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from promoledger.functions import keys
 from promoledger.operators import dims, feed, io_master
 from promoledger.session import stage
+from promoledger.sources import storage
 from promoledger.sources.readers import constant_relation, read_parquet
 
 CATEGORIES = [f"Category {n}" for n in range(1, 6)]
@@ -52,7 +53,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, path, _known_schemas[path])
 
 
-_layers: dict[tuple[str, str, str], DataFrame] = {}
+_layers: dict[tuple[str, str, str], tuple[tuple, DataFrame, str]] = {}
 
 
 def layer(spark: SparkSession, sf_dir: str, label: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
@@ -60,12 +61,18 @@ def layer(spark: SparkSession, sf_dir: str, label: str, build: Callable[[SparkSe
 
     This is how the warehouse holds them: masters, funding proportions, codes and
     the processed promotions are stored tables, so a job that reads one in
-    several branches scans it, and does not derive it anew per branch.
+    several branches scans it, and does not derive it anew per branch. A layer is
+    built again, and the old one deleted, once a table in ``sf_dir`` has changed.
     """
     key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _layers:
-        _layers[key], _ = stage(build(spark, sf_dir), label)
-    return _layers[key]
+    version = storage.listing(spark, sf_dir)
+    known = _layers.get(key)
+    if known is None or known[0] != version:
+        built, path = stage(build(spark, sf_dir), label)
+        if known is not None:
+            storage.delete_folder(spark, known[2])
+        _layers[key] = (version, built, path)
+    return _layers[key][1]
 
 
 def text(column: str) -> Column:

@@ -21,6 +21,12 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
 
 
+def listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of last change of what lies in ``path`` (one listing call): differs once a table there was written anew."""
+    fs, hadoop_path = _file_system(spark, path)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(hadoop_path)))
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)

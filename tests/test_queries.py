@@ -15,7 +15,8 @@ FOLDER = "/root/testdata/sf0.001"
 # A cross-section that stays quick; check_queries.py runs them all.
 QUICK = (
     "conform_sales trailing_minus_parse latest_snapshot upsert delete_latest_batch restate_returns loyalty_dedupe "
-    "io_proportions gift_value promo_axis dup_keys control_total_recon export_window pii_roundtrip"
+    "io_proportions gift_value promo_axis dup_keys control_total_recon export_window pii_roundtrip interval_bands "
+    "subset_completeness subset_loss report_files exception_table month_fallback catalog_statistics unknown_types"
 ).split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not present")
