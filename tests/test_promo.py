@@ -202,3 +202,12 @@ def test_indicators_sit_on_one_marker_row(spark):
         ("O2", "P1", "a", "BASKET", 3.0, None, None, None),
         ("O3", "P1", "a", "OCCDIS", 3.0, None, None, None),
     ]
+
+
+def test_dealt_month_rows_get_their_indicators_without_another_shuffle(spark):
+    columns = "invoice_type string, outlet_code string, product_code string, promotion_type string, promotion_mechanism string, promotion_id string, time_key int, promotion_value double"
+    daily = spark.createDataFrame([("OFF", f"O{i % 3}", f"P{i % 2}", ["OCCDIS", "PERSTR"][i % 2], "LN", f"X{i % 5}", 20200101 + i, float(i)) for i in range(28)], columns)
+    found = monthly.with_indicators(monthly.month_rows(daily, "OFF", deal=True))
+    assert rowset(found, *sorted(found.columns)) == rowset(monthly.with_indicators(monthly.month_rows(daily, "OFF")), *sorted(found.columns))
+    exchanges = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
+    assert exchanges and all("REPARTITION_BY_COL" in x for x in exchanges)
