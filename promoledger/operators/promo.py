@@ -50,6 +50,18 @@ def _lines(df: DataFrame) -> list[str]:
     return [c for c in LINE_COLUMNS if c in df.columns]
 
 
+def dealt(lines: DataFrame) -> DataFrame:
+    """Lines dealt by what stays the same when they are allocated, for the daily sum to need no shuffle of its own.
+
+    Allocation makes several rows of a line, which differ in the product they book
+    on and in values. Joins with funds and shares, which are small, leave rows where
+    they are, so rows that the daily fact sums are together already: a line is
+    shuffled, not the rows made of it. Were the funds large, Spark would shuffle
+    once more. All branches have to be dealt.
+    """
+    return lines.repartition(*[c for c in _lines(lines) if c != "product_code"])
+
+
 def promotion_keys(dim_promotion: DataFrame, invoice: str | None = None) -> DataFrame:
     """(promo_invoice, promotion_type) with off-invoice baskets under their own type."""
     dim = dim_promotion if invoice is None else dim_promotion.filter(F.col("promo_invoice") == invoice)
@@ -155,10 +167,13 @@ def off_invoice_other(off_lines: DataFrame, brands: DataFrame) -> DataFrame:
     return _allocated(fanned, rules.zero_if_null("__share"), _lines(off_lines))
 
 
-def gift_value(promos: DataFrame, brands: DataFrame, gift_price: DataFrame, gift_master: DataFrame) -> DataFrame:
+def gift_value(
+    promos: DataFrame, brands: DataFrame, gift_price: DataFrame, gift_master: DataFrame, deal: bool = False
+) -> DataFrame:
     """Gift lines valued at the scheme's price of the item, else the item's highest price, else 0.
 
-    Value = (cases * pieces per case + pieces) * price, split over the IO's brands.
+    Value = (cases * pieces per case + pieces) * price, split over the IO's brands;
+    with ``deal`` the valued lines are dealt before, for the daily sum.
     """
     scheme_price = gift_price.groupBy(F.col("item_code").alias("product_code"), "scheme_id").agg(
         F.max("price_vnd").alias("__scheme_price")
@@ -185,7 +200,7 @@ def gift_value(promos: DataFrame, brands: DataFrame, gift_price: DataFrame, gift
     priced = priced.withColumns(
         {"__value": value, "gift_price_available": rules.yes_no(price.isNotNull())}
     )
-    return spread_join(priced, funds, "IO").select(
+    return spread_join(dealt(priced) if deal else priced, funds, "IO").select(
         *_lines(promos),
         *VALUES[:3],
         (F.col("__value") * rules.zero_if_null("__share")).alias("promotion_value"),
@@ -216,7 +231,8 @@ def daily_promotions(on: DataFrame, off: DataFrame, gift: DataFrame, other: Data
 
     Allocated branches book on the brand's representative product. The branches
     never share a key (mechanism, on/off type and gift flag differ), so one
-    group-by after the union equals four before it and shuffles once.
+    group-by after the union equals four before it and shuffles once, or not at
+    all where the lines of every branch were dealt.
     """
     booked = [
         on,

@@ -106,14 +106,14 @@ def build_daily(promos: DataFrame, masters: Masters, year: str | None = None, qu
     hierarchy = dims.standard_hierarchy(masters.local_product, masters.article)
     brands = promo.io_brands(masters.io, hierarchy)
     mapped = dims.channel_bridge(masters.outlets, masters.channels, masters.channel_map)
-    off_lines = promo.off_invoice_lines(promos, masters.dim_promotion, mapped)
+    off_lines = promo.dealt(promo.off_invoice_lines(promos, masters.dim_promotion, mapped))
     share = category_share(masters.split, year, quarter)
     off = promo.off_invoice_perstr(off_lines, share, brands).unionByName(promo.off_invoice_other(off_lines, brands))
     daily = promo.daily_promotions(
-        promo.on_invoice(promos, masters.dim_promotion, hierarchy, masters.io),
+        promo.dealt(promo.on_invoice(promos, masters.dim_promotion, hierarchy, masters.io)),
         off,
-        promo.gift_value(promos, brands, masters.gift_price, masters.gift_master),
-        promo.unprocessed_mechanisms(promos),
+        promo.gift_value(promos, brands, masters.gift_price, masters.gift_master, deal=True),
+        promo.dealt(promo.unprocessed_mechanisms(promos)),
     )
     return promo.typed_daily_promotions(daily, dims.channel_bridge(masters.outlets, masters.channels))
 

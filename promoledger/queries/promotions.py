@@ -264,8 +264,9 @@ def gift_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(rows(), *[total(c) for c in VALUES])
 
 
-def _off_lines_allocated(spark: SparkSession, sf_dir: str, lines: DataFrame, funds: DataFrame | None = None) -> DataFrame:
+def _off_lines_allocated(spark: SparkSession, sf_dir: str, lines: DataFrame, funds: DataFrame | None = None, deal: bool = False) -> DataFrame:
     off_lines = promo.off_invoice_lines(lines, views.dim_promotion(spark), views.bridge(spark, sf_dir))
+    off_lines = promo.dealt(off_lines) if deal else off_lines
     brands = brand_funds(spark, sf_dir) if funds is None else funds
     return promo.off_invoice_perstr(off_lines, category_shares(spark, sf_dir), brands).unionByName(
         promo.off_invoice_other(off_lines, brands)
@@ -277,10 +278,10 @@ def daily_fact(spark: SparkSession, sf_dir: str, off_funds: DataFrame | None = N
     lines = views.processed_promos(spark, sf_dir)
     brands = brand_funds(spark, sf_dir)
     return promo.daily_promotions(
-        promo.on_invoice(lines, views.dim_promotion(spark), views.hierarchy(spark, sf_dir), views.io(spark, sf_dir)),
-        _off_lines_allocated(spark, sf_dir, lines, off_funds),
-        promo.gift_value(lines, brands, views.gift_prices(spark, sf_dir), views.gift_master(spark, sf_dir)),
-        promo.unprocessed_mechanisms(lines),
+        promo.dealt(promo.on_invoice(lines, views.dim_promotion(spark), views.hierarchy(spark, sf_dir), views.io(spark, sf_dir))),
+        _off_lines_allocated(spark, sf_dir, lines, off_funds, deal=True),
+        promo.gift_value(lines, brands, views.gift_prices(spark, sf_dir), views.gift_master(spark, sf_dir), deal=True),
+        promo.dealt(promo.unprocessed_mechanisms(lines)),
     )
 
 

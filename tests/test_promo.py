@@ -204,6 +204,29 @@ def test_indicators_sit_on_one_marker_row(spark):
     ]
 
 
+def test_dealt_lines_are_summed_without_another_shuffle(spark, world):
+    from promoledger.session import stage
+
+    lines = [line("I1", "P1", "LN", "OCCDIS", 100.0), line("I1", "P2", "LN", "OCCDIS", 60.0), line("I2", "P1", "LN", "LTYPRG", 7.0), line("I3", "P2", "FQ", "OCCDIS", 0.0, pc=3.0), line("I4", "P2", "JR", "OCCDIS", 4.0)]
+    promos = spark.createDataFrame(lines, LINE)
+    prices = spark.createDataFrame([("P2", "00000001", 5.0)], "item_code string, scheme_id string, price_vnd double")
+    packs = spark.createDataFrame([("P2", 12)], "gift_code string, packing_per_case int")
+    brands, _ = stage(world["brands"], "brands")
+
+    def daily(deal):
+        keep = promo.dealt if deal else lambda df: df
+        return promo.daily_promotions(
+            keep(promo.on_invoice(promos, world["dim"], world["hierarchy"], world["io"])),
+            promo.off_invoice_other(keep(promo.off_invoice_lines(promos, world["dim"], world["bridge"])), brands),
+            promo.gift_value(promos, brands, prices, packs, deal=deal),
+            keep(promo.unprocessed_mechanisms(promos)),
+        )
+
+    assert rowset(daily(True)) == rowset(daily(False)) and daily(True).count() > 4
+    above = daily(True)._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+    assert "Aggregate" in above and "Exchange" not in above
+
+
 def test_dealt_month_rows_get_their_indicators_without_another_shuffle(spark):
     columns = "invoice_type string, outlet_code string, product_code string, promotion_type string, promotion_mechanism string, promotion_id string, time_key int, promotion_value double"
     daily = spark.createDataFrame([("OFF", f"O{i % 3}", f"P{i % 2}", ["OCCDIS", "PERSTR"][i % 2], "LN", f"X{i % 5}", 20200101 + i, float(i)) for i in range(28)], columns)
