@@ -227,6 +227,16 @@ def test_dealt_lines_are_summed_without_another_shuffle(spark, world):
     assert "Aggregate" in above and "Exchange" not in above
 
 
+def test_channels_carried_by_lines_equal_those_looked_up(spark):
+    columns = "invoice_no string, outlet_code string, promo_start_date string, promo_end_date string"
+    daily = spark.createDataFrame([(f"I{i}", o, "01.01.2020", "31.12.2020") for i, o in enumerate(["O1", "O2", "O3", None])], columns)
+    bridge = spark.createDataFrame([("O1", "PRO"), ("O2", "A"), ("O2", "B"), (None, "C")], "outlet_code string, channel string")
+    carried = promo.typed_daily_promotions(promo.with_outlet_channels(daily, bridge), bridge)
+    looked_up = promo.typed_daily_promotions(daily, bridge)
+    assert carried.columns == looked_up.columns and rowset(carried) == rowset(looked_up)
+    assert rowset(carried, "invoice_number", "channel") == [("I0", "PRO"), ("I1", "A"), ("I1", "B"), ("I2", None), ("I3", None)]
+
+
 def test_dealt_month_rows_get_their_indicators_without_another_shuffle(spark):
     columns = "invoice_type string, outlet_code string, product_code string, promotion_type string, promotion_mechanism string, promotion_id string, time_key int, promotion_value double"
     daily = spark.createDataFrame([("OFF", f"O{i % 3}", f"P{i % 2}", ["OCCDIS", "PERSTR"][i % 2], "LN", f"X{i % 5}", 20200101 + i, float(i)) for i in range(28)], columns)
