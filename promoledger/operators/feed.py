@@ -117,11 +117,15 @@ def dedupe_loyalty(promos: DataFrame, loyalty_type: str = "LTYPRG") -> DataFrame
     rows without a type drop, as in any ``!=`` filter.
 
     Written as two aggregations and a union: the valued row is computed per
-    group with map-side combine and then added to the zero-valued rows by the
-    final group-by. No group is ever sorted or joined as a whole.
+    group and then added to the zero-valued rows by the final group-by. Rows are
+    dealt by invoice and funding id, which all of these groups share, so nothing
+    else is shuffled. Rows that lack one of the two get no value; they may be many,
+    and are only collapsed. No group is ever sorted or joined as a whole.
     """
     others = promos.filter(F.col("promotion_type") != loyalty_type)
-    loyalty = promos.filter(F.col("promotion_type") == loyalty_type)
+    rewards = promos.filter(F.col("promotion_type") == loyalty_type)
+    known = F.col("invoice_no").isNotNull() & F.col("IO").isNotNull()
+    loyalty = rewards.filter(known).repartition("invoice_no", "IO")
     quantities = [c for c in _LOYALTY_QUANTITIES if c in promos.columns]
     descriptive = [c for c in promos.columns if c not in _LOYALTY_VALUES and c not in quantities]
     order = [c for c in ("product_code", "billing_item", "promotion_id") if c in descriptive]
@@ -134,14 +138,14 @@ def dedupe_loyalty(promos: DataFrame, loyalty_type: str = "LTYPRG") -> DataFrame
     )
     marked = (
         first_per_group(per_product, group, ["product_code"])
-        .filter(F.col("invoice_no").isNotNull() & F.col("IO").isNotNull())
         .select(*group, "product_code", "__row.*", *_LOYALTY_VALUES)
         .withColumns({c: F.lit(None).cast("double") for c in quantities})
     )
-    unvalued = loyalty.withColumns({c: F.lit(0.0) for c in _LOYALTY_VALUES})
-    collapsed = (
-        unvalued.unionByName(marked)
-        .groupBy(*descriptive)
-        .agg(*[F.sum(c).alias(c) for c in _LOYALTY_VALUES + quantities])
-    )
-    return others.unionByName(collapsed.select(*promos.columns))
+    zeros = {c: F.lit(0.0) for c in _LOYALTY_VALUES}
+
+    def collapsed(rows: DataFrame) -> DataFrame:
+        summed = rows.groupBy(*descriptive).agg(*[F.sum(c).alias(c) for c in _LOYALTY_VALUES + quantities])
+        return summed.select(*promos.columns)
+
+    valued = collapsed(loyalty.withColumns(zeros).unionByName(marked))
+    return others.unionByName(valued).unionByName(collapsed(rewards.filter(~known).withColumns(zeros)))

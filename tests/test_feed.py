@@ -95,3 +95,15 @@ def test_loyalty_is_counted_once_per_invoice_and_order(spark):
         ("I1", "A", "P2", "1", "PERSTR", 9.0, 1.0),
         ("I1", "B", "P7", "4", "LTYPRG", 3.0, 1.0),
     ]
+
+
+def test_loyalty_rows_are_shuffled_once_and_those_without_an_invoice_collapse(spark):
+    columns = "promotion_type string, invoice_no string, IO string, product_code string, billing_item string, promotion_id string, value_based_promo_disc double, header_lvl_disc double, free_quantity_value double, promotion_value double, free_qty_in_cs double"
+    rows = [("LTYPRG", i, o, p, b, "X", 5.0, 0.0, 0.0, 5.0, 1.0) for i, o, p, b in [("I1", "A", "P1", "1"), ("I1", "A", "P2", "2"), (None, "A", "P1", "1"), (None, "A", "P1", "1"), ("I2", None, "P1", "1")]]
+    found = feed.dedupe_loyalty(spark.createDataFrame(rows, columns))
+    assert rowset(found, "invoice_no", "IO", "product_code", "promotion_value", "free_qty_in_cs") == [
+        (None, "A", "P1", 0.0, 2.0), ("I1", "A", "P1", 5.0, 1.0), ("I1", "A", "P2", 0.0, 1.0), ("I2", None, "P1", 0.0, 1.0),
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning(invoice_no" in x for x in plan.splitlines() if "REPARTITION" in x) == 2
+    assert sum("Exchange" in x for x in plan.splitlines()) == 3
