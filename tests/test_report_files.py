@@ -72,3 +72,16 @@ def test_rows_lost_on_the_way_stop_the_month(spark, masters, tmp_path, monkeypat
     calendar = spark.createDataFrame([(20200102, 202001, 1)], "time_key int, year_month int, trading_day int")
     with pytest.raises(quality.CheckFailed, match="subset_counts"):
         promotion_month.ingest(raw, spark.createDataFrame([], schemas.CONTROL_TOTALS), calendar, masters, paths, threshold=5)
+
+
+def test_a_large_report_is_written_by_several_tasks(spark, tmp_path):
+    from promoledger.queries import controls
+
+    lines = spark.range(0, 40000, 1, 8).select(F.lit(2020).alias("report"), F.lit(8).alias("place"), F.sha2(F.col("id").cast("string"), 256).alias("value"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        controls._write_reports(lines, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "out" / "report=2020").glob("*.csv"))) > 1
+    assert spark.read.text(str(tmp_path / "out")).agg(F.count_distinct("value")).first()[0] == 40000
