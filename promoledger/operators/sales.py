@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,19 +82,29 @@ def conform_sales(
 
 
 def enrich_sales(
-    fact: DataFrame, salesman: DataFrame, product: DataFrame, batch_ts: Column | None = None
+    fact: DataFrame,
+    salesman: DataFrame,
+    product: DataFrame,
+    batch_ts: Column | None = None,
+    salesman_codes: Sequence[str] = (),
+    product_codes: Sequence[str] = (),
 ) -> DataFrame:
     """Add salesforce, brand attributes, date keys of the invoice and the batch time.
 
     Dimensions are reduced to distinct attribute rows first, so repeated master
-    rows do not multiply invoice lines.
+    rows do not multiply invoice lines. ``salesman_codes`` and ``product_codes``
+    are further columns of the two that the lines take along, such as the codes
+    that ``monthly_sales`` would have to join to its sums.
     """
-    sm = salesman.select(F.col("salesman_code").alias("transactional_salesman_code"), "salesforce").distinct()
+    sm = salesman.select(
+        F.col("salesman_code").alias("transactional_salesman_code"), "salesforce", *salesman_codes
+    ).distinct()
     pd = product.select(
         "product_code",
         "brand",
         "category_code",
         F.concat("brand", F.lit("_"), "category_code", F.lit("_"), "cotc").alias("brand_cat_core"),
+        *product_codes,
     ).distinct()
     ts = batch_ts if batch_ts is not None else F.current_timestamp()
     joined = fact.join(sm, "transactional_salesman_code", "left").join(pd, "product_code", "left")
@@ -166,7 +178,10 @@ def monthly_sales(
 
     The fact is aggregated first, on its own columns; every added attribute
     depends on one of them, so the (much smaller) result is what gets joined.
-    ``month_id=None`` rolls up every month.
+    Where the sums are no fewer than the lines and much wider, the lines should
+    bring their codes (``PRODUCT_CODES``, ``SITE_CODES``, ``OUTLET_CODES``) along
+    from joins of narrower or fewer rows: codes that ``fact`` has are grouped by
+    and not joined again. ``month_id=None`` rolls up every month.
     """
     scoped = fact if month_id is None else fact.filter(F.col("month_id") == int(month_id))
     # Coalesced up front: a missing code is reported as NA and must pass the prefix test.
@@ -192,7 +207,7 @@ def monthly_sales(
         "year_id",
         "month_id",
     ]
-    group = [c for c in group if c in fact.columns]
+    group = [c for c in [*group, *PRODUCT_CODES, *SITE_CODES, *OUTLET_CODES] if c in fact.columns]
     measures = [c for c in schemas.SALES_MEASURES if c in fact.columns]
     monthly = (
         scoped.withColumn("time_key", keys.month_end_key("time_key"))
@@ -202,43 +217,62 @@ def monthly_sales(
     return code_sales(monthly, hierarchy, distributors, outlet_channels, outlets, store_sizes, coded)
 
 
-def code_sales(
-    monthly: DataFrame,
-    hierarchy: DataFrame,
-    distributors: DataFrame,
-    outlet_channels: DataFrame,
-    outlets: DataFrame,
-    store_sizes: DataFrame,
-    coded: DataFrame,
-) -> DataFrame:
-    """Attach hierarchy, region and report codes to aggregated sales (one row in, one row out)."""
-    product = hierarchy.select("product_code", "standard_product_group_code", "banded").distinct()
-    region = distributors.groupBy(F.col("site_code").alias("transactional_site_code")).agg(
-        F.min("dt_region").alias("region")
-    )
+# What month rows take from the masters of their product, site and outlet.
+PRODUCT_CODES = ("standard_product_group_code", "banded")
+SITE_CODES = ("region",)
+OUTLET_CODES = ("channel_code", "store_size_code", "perfect_store_status_code", "outlet_copies")
+
+
+def product_groups(hierarchy: DataFrame) -> DataFrame:
+    """Sales group and banded mark of the products."""
+    return hierarchy.select("product_code", *PRODUCT_CODES).distinct()
+
+
+def site_regions(distributors: DataFrame) -> DataFrame:
+    """One region per site."""
+    return distributors.groupBy("site_code").agg(F.min("dt_region").alias("region"))
+
+
+def outlet_report_codes(outlets: DataFrame, outlet_channels: DataFrame, store_sizes: DataFrame, coded: DataFrame) -> DataFrame:
+    """Distinct report codes of the outlets. ``outlet_copies`` says how often the masters repeat a row: a month row is shown as often."""
     channel_codes = coded.filter(F.col("ref_type") == "CHANNEL").select(
         F.col("ref_desc").alias("channel"), F.col("ref_code").alias("channel_code")
     )
     perfect_codes = coded.filter(F.col("ref_type") == "PERFECT_STORE").select(
         F.substring("ref_desc", 1, 1).alias("perfect_store"), F.col("ref_code").alias("perfect_store_status_code")
     )
-    outlet_codes = (
+    return (
         outlets.select("outlet_code", "perfect_store")
         .distinct()
         .join(outlet_channels.select("outlet_code", "channel"), "outlet_code", "left")
         .join(store_sizes.select("outlet_code", "store_size_code"), "outlet_code", "left")
         .join(channel_codes, "channel", "left")
         .join(perfect_codes, "perfect_store", "left")
-        .select(
-            F.col("outlet_code").alias("transactional_outlet_code"),
-            "channel_code",
-            "store_size_code",
-            "perfect_store_status_code",
-        )
+        .groupBy("outlet_code", *OUTLET_CODES[:3])
+        .agg(F.count(F.lit(1)).alias("outlet_copies"))
     )
-    out = spread_join(monthly, product, "product_code")
-    out = spread_join(out, region, "transactional_site_code")
-    out = spread_join(out, outlet_codes, "transactional_outlet_code")
+
+
+def code_sales(
+    monthly: DataFrame,
+    hierarchy: DataFrame,
+    distributors: DataFrame,
+    outlet_channels: DataFrame,
+    outlets: DataFrame,
+    store_sizes: DataFrame,
+    coded: DataFrame,
+) -> DataFrame:
+    """Attach the codes of product, site and outlet that aggregated sales do not carry yet (one row in, one row out)."""
+    out = monthly
+    if not set(PRODUCT_CODES) <= set(monthly.columns):
+        out = spread_join(out, product_groups(hierarchy), "product_code")
+    if not set(SITE_CODES) <= set(monthly.columns):
+        region = site_regions(distributors).withColumnRenamed("site_code", "transactional_site_code")
+        out = spread_join(out, region, "transactional_site_code")
+    if not set(OUTLET_CODES) <= set(monthly.columns):
+        codes = outlet_report_codes(outlets, outlet_channels, store_sizes, coded)
+        out = spread_join(out, codes.withColumnRenamed("outlet_code", "transactional_outlet_code"), "transactional_outlet_code")
+    out = out.withColumn("outlet_copies", F.explode(F.sequence(F.lit(1), F.coalesce("outlet_copies", F.lit(1)).cast("int")))).drop("outlet_copies")
     return out.withColumns(
         {
             "channel_code": F.coalesce(F.col("channel_code").cast("int"), F.lit(0)),
