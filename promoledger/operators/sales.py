@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from promoledger import schemas
 from promoledger.functions import keys, parse, rules
-from promoledger.operators.joins import spread_join
+from promoledger.operators.joins import SALT, spread_join
 
 # Conformed column -> source column (fixed values of the feed contract).
 _DESCRIPTORS = {
@@ -207,12 +207,13 @@ def monthly_sales(
         "year_id",
         "month_id",
     ]
-    group = [c for c in [*group, *PRODUCT_CODES, *SITE_CODES, *OUTLET_CODES] if c in fact.columns]
+    group = [c for c in [*group, *PRODUCT_CODES, *SITE_CODES, *OUTLET_CODES, SALT] if c in fact.columns]
     measures = [c for c in schemas.SALES_MEASURES if c in fact.columns]
     monthly = (
         scoped.withColumn("time_key", keys.month_end_key("time_key"))
         .groupBy(*group, "time_key")
         .agg(*[F.sum(c).alias(c) for c in measures])
+        .drop(SALT)
     )
     return code_sales(monthly, hierarchy, distributors, outlet_channels, outlets, store_sizes, coded)
 

@@ -5,7 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from promoledger.operators import sales
+from promoledger.operators import joins, sales
 
 from .conftest import rowset
 
@@ -59,3 +59,23 @@ def test_lines_of_an_invoice_with_their_codes_are_summed_where_they_are(spark, m
         dealt = coded(lines(spark), masters).localCheckpoint().repartition("invoice_number")
         plan = sales.monthly_sales(dealt, None, **masters)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_lines_dealt_by_a_salt_are_summed_where_they_are_and_a_hot_product_is_split(spark):
+    groups = spark.createDataFrame([("p1", "g1", "Banded"), ("p2", "g1", "No"), ("p2", "g2", "No")], "product_code string, standard_product_group_code string, banded string").localCheckpoint()
+    # Product p1 owns all but a few of the lines.
+    rows = [("p1" if n % 20 else f"p{n % 3}", f"o{n}", 20200101, float(n)) for n in range(400)]
+    sold = spark.createDataFrame(rows, "product_code string, transactional_outlet_code string, time_key int, gross_sales_val double").na.fill("NA", ["product_code"]).localCheckpoint()
+    by = ["product_code", "transactional_outlet_code"]
+    with shuffled(spark):
+        lines = joins.salted_join(sold, groups, "product_code", by[1:])
+        summed = lines.groupBy(*by, joins.SALT, "banded").agg(F.sum("gross_sales_val").alias("v")).drop(joins.SALT)
+        plan = summed._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.adaptive.enabled", False)
+        try:
+            tasks = [r["count"] for r in joins.salted_join(sold, groups, "product_code", by[1:]).groupBy(F.spark_partition_id()).count().collect()]
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", True)
+        assert plan.count("Exchange") == 2
+        assert max(tasks) < 0.6 * sum(tasks)
+        assert rowset(summed) == rowset(sold.join(groups, "product_code", "left").groupBy(*by, "banded").agg(F.sum("gross_sales_val").alias("v")))
