@@ -50,18 +50,25 @@ def append_batch(df: DataFrame, path: str, batch_id: str, partition_cols: Sequen
 
     Other batches keep their rows, also in the folders that both write to. A first
     run only adds files. A run that repeats a batch, or a part of it after a
-    failure, rewrites the folders of that batch from staged rows, so it may itself
-    be repeated.
+    failure, adds its files and then removes those that held the batch before; if
+    it breaks off in between, the next run removes both. Where daily loads have put
+    rows of others into such a file, the folders of the batch are rewritten from
+    staged rows instead, so that run may be repeated as well.
     """
     spark = df.sparkSession
     mine = df.withColumn(BATCH, F.lit(batch_id))
     old = spark.read.parquet(path) if storage.exists(spark, path) else None
-    again = None
+    held = []
     if old is not None and BATCH in old.columns:
-        again = old.filter(F.col(BATCH) == batch_id).select(*partition_cols).distinct()
-    if again is None or again.isEmpty():
+        own = F.coalesce(F.col(BATCH) == batch_id, F.lit(False))
+        files = old.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.bool_or(own).alias("own"), F.bool_or(~own).alias("shared"))
+        # At most one entry a file of the batch.
+        held = files.filter("own").collect()
+    if not any(f["shared"] for f in held):
         append_partitions(mine, path, partition_cols)
+        storage.delete_files(spark, [f["file"] for f in held])
         return
+    again = old.filter(F.col(BATCH) == batch_id).select(*partition_cols).distinct()
     # At most one entry a folder of the batch.
     folders = [tuple(r) for r in again.unionByName(mine.select(*partition_cols).distinct()).distinct().toLocalIterator()]
     scope = F.lit(True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
 
@@ -30,3 +32,16 @@ def listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def delete_files(spark: SparkSession, uris: Sequence[str]) -> None:
+    """Remove files, named as in ``_metadata.file_path``, and the folders that are empty without them."""
+    folders = {}
+    for uri in uris:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+        fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.delete(hadoop_path, False)
+        folders[hadoop_path.getParent().toString()] = (fs, hadoop_path.getParent())
+    for fs, folder in folders.values():
+        if len(fs.listStatus(folder)) == 0:
+            fs.delete(folder, False)

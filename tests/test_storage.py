@@ -226,3 +226,29 @@ def test_reload_of_a_null_partition_replaces_it(spark, tmp_path):
     assert rowset(spark.read.parquet(path), "k") == [("new",), ("stays",)]
     writers.replace_slice(_table(spark, [("only", 9, 2020, 202001, 20200105)]), path, scope)
     assert rowset(spark.read.parquet(path), "k") == [("only",), ("stays",)]
+
+
+def test_a_repeated_batch_adds_its_files_and_leaves_those_of_others(spark, tmp_path, monkeypatch):
+    path, days = str(tmp_path / "day 1"), ("day",)
+    rows = lambda *pairs: spark.createDataFrame(pairs, "v string, day string")
+    names = lambda: {p.name for p in (tmp_path / "day 1").rglob("part-*")}
+    stored = lambda: rowset(spark.read.parquet(path), "v", "batch_id")
+    writers.append_batch(rows(("a", "1 x"), ("b", "2")), path, "one", days)
+    first = names()
+    writers.append_batch(rows(("c", "1 x")), path, "two", days)
+    others = names() - first
+    with monkeypatch.context() as m:
+        m.setattr(writers, "replace_slice", None)  # no folder is rewritten
+        # A run that breaks off before it removes the old files is repaired by the next.
+        m.setattr(writers.storage, "delete_files", lambda *_: None)
+        writers.append_batch(rows(("d", "1 x"), ("e", "3")), path, "one", days)
+        m.undo()
+        m.setattr(writers, "replace_slice", None)
+        writers.append_batch(rows(("d", "1 x"), ("e", "3")), path, "one", days)
+    assert stored() == [("c", "two"), ("d", "one"), ("e", "one")]
+    assert others <= names() and not first & names() and not (tmp_path / "day 1" / "day=2").exists()
+    # A file that holds rows of others too is rewritten.
+    mixed = spark.read.parquet(path).collect()
+    writers.overwrite_partitions(spark.createDataFrame(mixed, "v string, batch_id string, day string").coalesce(1), path, days)
+    writers.append_batch(rows(("f", "1 x")), path, "one", days)
+    assert stored() == [("c", "two"), ("f", "one")]
