@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from promoledger import schemas, session
 from promoledger.functions import keys
@@ -59,19 +60,26 @@ def load_history(
     content. A batch may be run again: its own rows make way, those of other
     batches stay, on shared days too. Lines without a date go to a table of
     offenders beside the fact, under ``-undated``, with a folder for each batch.
+    The fact comes from the batch's rows in the processed layer, as in daily loads;
+    a named batch is not staged besides, so ``raw`` has to stay as it is meanwhile.
     """
     conformed = conform_sales(raw, country, keys_from_invoice_date=True)
-    staged, staged_path = session.stage(conformed, "history")
+    staged_path = None
+    if batch_id is None:
+        conformed, staged_path = session.stage(conformed, "history")
     try:
-        batch = batch_id or writers.batch_digest(staged)
-        dated, undated = staged.filter(F.col("time_key").isNotNull()), staged.filter(F.col("time_key").isNull())
+        batch = batch_id or writers.batch_digest(conformed)
+        dated, undated = conformed.filter(F.col("time_key").isNotNull()), conformed.filter(F.col("time_key").isNull())
         writers.append_batch(dated, paths.processed, batch)
-        enriched = schemas.conform(enrich_sales(dated, salesman, product, batch_ts), schemas.DAILY_SALES)
+        stored = T.StructType([*dated.schema, T.StructField(writers.BATCH, T.StringType())])
+        processed = spark.read.schema(stored).parquet(paths.processed).filter(F.col(writers.BATCH) == batch)
+        enriched = schemas.conform(enrich_sales(processed, salesman, product, batch_ts), schemas.DAILY_SALES)
         writers.append_batch(enriched, paths.fact, batch)
         writers.replace_folder(undated, undated_path(paths), writers.BATCH, batch)
         return batch
     finally:
-        storage.delete_folder(spark, staged_path)
+        if staged_path is not None:
+            storage.delete_folder(spark, staged_path)
 
 
 def undated_path(paths: SalesPaths) -> str:

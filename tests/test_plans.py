@@ -93,6 +93,19 @@ def test_batches_that_share_a_day_keep_each_others_lines(spark, tmp_path, monkey
     assert fact() == [("D1", 20200102), ("I1", 20200101), ("I2", 20200102), ("I3", 20200102), ("N1", 20200103)]
 
 
+def test_a_named_batch_is_not_staged_besides(spark, tmp_path, monkeypatch):
+    paths = daily_sales.SalesPaths(*[str(tmp_path / n) for n in ("processed", "fact", "export")])
+    salesman = spark.createDataFrame([("SM", "GT"), ("SM", "MT")], "salesman_code string, salesforce string")
+    product = spark.createDataFrame([("00000001", "B", "C", "K")], "product_code string, brand string, category_code string, cotc string")
+    monkeypatch.setattr(daily_sales.session, "stage", None)
+    # Batch one has no line with a date.
+    for name, day in (("two", "20200101"), ("one", None), ("two", "20200102")):
+        daily_sales.load_history(spark, _raw(spark, [("I1", "1", "0", day, "1"), ("U1", "1", "0", None, "2")]), salesman, product, paths, batch_id=name)
+    assert rowset(spark.read.parquet(paths.fact), "invoice_number", "salesforce", "time_key", "batch_id") == [("I1", "GT", 20200102, "two"), ("I1", "MT", 20200102, "two")]
+    assert rowset(spark.read.parquet(paths.processed), "invoice_number", "time_key", "batch_id") == [("I1", 20200102, "two")]
+    assert rowset(spark.read.parquet(daily_sales.undated_path(paths)), "invoice_number", "batch_id") == [("I1", "one"), ("U1", "one"), ("U1", "two")]
+
+
 @pytest.fixture(scope="module")
 def masters(spark):
     texts = lambda df, *names: df.withColumns({n: F.lit(None).cast("string") for n in names})
