@@ -46,10 +46,11 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], s
     Rows are dealt by the key and by a salt, a small hash of ``by``, which stays in
     the result; the right side, which should be the far smaller one, is repeated
     for every salt. A key that owns a third of the rows is so dealt to ``salts``
-    tasks as far as its rows differ in ``by``.
+    tasks as far as its rows differ in ``by``. The repeats are missing from Spark's
+    estimate of that side, and a broadcast would pass the driver, so there is none.
     """
     salt = F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")
-    repeated = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    repeated = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     return left.withColumn(SALT, salt).join(repeated, [on, SALT], "left")
 
 

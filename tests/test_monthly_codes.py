@@ -79,3 +79,13 @@ def test_lines_dealt_by_a_salt_are_summed_where_they_are_and_a_hot_product_is_sp
         assert plan.count("Exchange") == 2
         assert max(tasks) < 0.6 * sum(tasks)
         assert rowset(summed) == rowset(sold.join(groups, "product_code", "left").groupBy(*by, "banded").agg(F.sum("gross_sales_val").alias("v")))
+
+
+def test_a_repeated_side_is_not_broadcast_however_small_its_estimate(spark):
+    sold = spark.range(1000).select((F.col("id") % 50).cast("string").alias("product_code"), F.col("id").alias("site"))
+    groups = spark.range(50).select(F.col("id").cast("string").alias("product_code"), F.lit("g").alias("standard_product_group_code"))
+    joined = joins.salted_join(sold, groups, "product_code", ["site"])
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 1_000_000
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert joined.where("standard_product_group_code = 'g'").count() == 1000
