@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promoledger import schemas
+from promoledger import schemas, session
 from promoledger.functions import rules
 from promoledger.operators.dims import brand_attributes
 from promoledger.operators.joins import spread_join
@@ -63,6 +63,16 @@ def dealt(lines: DataFrame) -> DataFrame:
     return lines.repartition(*[c for c in _lines(lines) if c != "product_code"])
 
 
+def held(lines: DataFrame, label: str, folders: list[str] | None = None) -> DataFrame:
+    """Lines of a branch with what they got from joins, stored as far as branches use them: the shuffles of the joins go
+    before lines are dealt. ``folders`` gets the folder, for who wants to delete it."""
+    used = {*LINE_COLUMNS, *BRANCH_COLUMNS, *VALUES, "channel", "__value"}
+    stored, path = session.stage(lines.select(*[c for c in lines.columns if c in used]), label)
+    if folders is not None:
+        folders.append(path)
+    return stored
+
+
 def promotion_keys(dim_promotion: DataFrame, invoice: str | None = None) -> DataFrame:
     """(promo_invoice, promotion_type) with off-invoice baskets under their own type."""
     dim = dim_promotion if invoice is None else dim_promotion.filter(F.col("promo_invoice") == invoice)
@@ -169,12 +179,18 @@ def off_invoice_other(off_lines: DataFrame, brands: DataFrame) -> DataFrame:
 
 
 def gift_value(
-    promos: DataFrame, brands: DataFrame, gift_price: DataFrame, gift_master: DataFrame, deal: bool = False
+    promos: DataFrame,
+    brands: DataFrame,
+    gift_price: DataFrame,
+    gift_master: DataFrame,
+    deal: bool = False,
+    folders: list[str] | None = None,
 ) -> DataFrame:
     """Gift lines valued at the scheme's price of the item, else the item's highest price, else 0.
 
     Value = (cases * pieces per case + pieces) * price, split over the IO's brands;
-    with ``deal`` the valued lines are dealt before, for the daily sum.
+    with ``deal`` the valued lines are dealt before, for the daily sum, and with
+    ``folders``, a list for the folder, they are stored before that (``held``).
     """
     scheme_price = gift_price.groupBy(F.col("item_code").alias("product_code"), "scheme_id").agg(
         F.max("price_vnd").alias("__scheme_price")
@@ -201,6 +217,7 @@ def gift_value(
     priced = priced.withColumns(
         {"__value": value, "gift_price_available": rules.yes_no(price.isNotNull())}
     )
+    priced = priced if folders is None else held(priced, "gift-lines", folders)
     return spread_join(dealt(priced) if deal else priced, funds, "IO").select(
         *_lines(promos),
         *VALUES[:3],

@@ -264,27 +264,40 @@ def gift_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(rows(), *[total(c) for c in VALUES])
 
 
-def _off_lines_allocated(spark: SparkSession, sf_dir: str, lines: DataFrame, funds: DataFrame | None = None, deal: bool = False) -> DataFrame:
-    off_lines = promo.off_invoice_lines(lines, views.dim_promotion(spark), views.bridge(spark, sf_dir))
-    off_lines = promo.dealt(off_lines) if deal else off_lines
+def _off_allocated(spark: SparkSession, sf_dir: str, off_lines: DataFrame, funds: DataFrame | None = None) -> DataFrame:
     brands = brand_funds(spark, sf_dir) if funds is None else funds
     return promo.off_invoice_perstr(off_lines, category_shares(spark, sf_dir), brands).unionByName(
         promo.off_invoice_other(off_lines, brands)
     )
 
 
-def daily_fact(spark: SparkSession, sf_dir: str, off_funds: DataFrame | None = None) -> DataFrame:
-    """The daily promotion fact at invoice grain; off-invoice spend may be given funds of its own."""
-    lines = views.processed_promos(spark, sf_dir)
-    brands = brand_funds(spark, sf_dir)
+def daily_branches(
+    spark: SparkSession, sf_dir: str, lines: DataFrame, off_funds: DataFrame | None = None, folders: list[str] | None = None
+) -> DataFrame:
+    """The daily fact of processed lines; off-invoice spend may be given funds of its own.
+
+    Each branch stores its lines with what they get from joins before they are
+    dealt and fan out; ``folders`` gets the folders, which the fact is read from.
+    """
+    folders = [] if folders is None else folders
+    on = promo.on_invoice(lines, views.dim_promotion(spark), views.hierarchy(spark, sf_dir), views.io(spark, sf_dir))
+    off = promo.off_invoice_lines(lines, views.dim_promotion(spark), views.bridge(spark, sf_dir))
+    prices, packs = views.gift_prices(spark, sf_dir), views.gift_master(spark, sf_dir)
     return promo.daily_promotions(
-        promo.dealt(promo.on_invoice(lines, views.dim_promotion(spark), views.hierarchy(spark, sf_dir), views.io(spark, sf_dir))),
-        _off_lines_allocated(spark, sf_dir, lines, off_funds, deal=True),
-        promo.gift_value(lines, brands, views.gift_prices(spark, sf_dir), views.gift_master(spark, sf_dir), deal=True),
+        promo.dealt(promo.held(on, "on-lines", folders)),
+        _off_allocated(spark, sf_dir, promo.dealt(promo.held(off, "off-lines", folders)), off_funds),
+        promo.gift_value(lines, brand_funds(spark, sf_dir), prices, packs, deal=True, folders=folders),
         promo.dealt(promo.unprocessed_mechanisms(lines)),
     )
 
 
+def daily_fact(
+    spark: SparkSession, sf_dir: str, off_funds: DataFrame | None = None, folders: list[str] | None = None
+) -> DataFrame:
+    """The daily promotion fact at invoice grain."""
+    return daily_branches(spark, sf_dir, views.processed_promos(spark, sf_dir), off_funds, folders)
+
+
 def daily_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily promotions of all four branches, profiled by day, type and mechanism."""
     return (
@@ -325,7 +338,8 @@ def monthly_on(spark: SparkSession, sf_dir: str) -> DataFrame:
 def monthly_off_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Off-invoice month rows: totals and flags sit on one marker row per month, outlet and product."""
     lines = views.processed_promos(spark, sf_dir)
-    off = _off_lines_allocated(spark, sf_dir, lines)
+    off_lines = promo.off_invoice_lines(lines, views.dim_promotion(spark), views.bridge(spark, sf_dir))
+    off = _off_allocated(spark, sf_dir, off_lines)
     other = promo.unprocessed_mechanisms(lines)
     booked = off.withColumn("product_code", F.col("standard_product_group_code"))
     union = booked.unionByName(other, allowMissingColumns=True)

@@ -244,3 +244,14 @@ def test_dealt_month_rows_get_their_indicators_without_another_shuffle(spark):
     assert rowset(found, *sorted(found.columns)) == rowset(monthly.with_indicators(monthly.month_rows(daily, "OFF")), *sorted(found.columns))
     exchanges = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
     assert exchanges and all("REPARTITION_BY_COL" in x for x in exchanges)
+
+
+def test_held_lines_of_a_branch_give_the_same_rows(spark, world):
+    lines = spark.createDataFrame([line("I1", "P2", "FQ", "OCCDIS", 0.0, pc=3.0), line("I2", "P1", "FQ", "OCCDIS", 0.0, pc=1.0)], LINE)
+    prices = spark.createDataFrame([("P2", "00000001", 5.0)], "item_code string, scheme_id string, price_vnd double")
+    packs = spark.createDataFrame([("P2", 12)], "gift_code string, packing_per_case int")
+    folders = []
+    held = promo.gift_value(lines, world["brands"], prices, packs, deal=True, folders=folders)
+    plain = promo.gift_value(lines, world["brands"], prices, packs)
+    assert len(folders) == 1 and held.columns == plain.columns and rowset(held) == rowset(plain) and held.count() >= 2
+    assert any(folders[0].rsplit("/", 1)[1] in name for name in held.inputFiles())
