@@ -1,14 +1,21 @@
 from __future__ import annotations
 
+import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from promoledger import session
+from promoledger.queries import full_grain
+from promoledger.sources import storage
 
 from .conftest import rowset
 
 
+FOLDER = "/root/testdata/sf0.001"
+
+
 def shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
@@ -24,3 +31,15 @@ def test_a_staged_table_leaves_no_shuffle_files(spark):
     assert not shuffle_files(spark) - before
     assert rowset(staged) == [(k, 100) for k in range(100)] == rowset(summed)
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not present")
+def test_lines_of_the_typed_fact_go_once_its_branches_hold_theirs(spark):
+    top = session.new_work_path(spark, "x").rsplit("/", 1)[0]
+    described = lambda: {name for name in storage.child_folders(spark, top) if name.startswith("described-promos")}
+    spark.range(1).write.parquet(f"{top}/described-promos-of-another-{time.time()}")
+    before, folders = described(), []
+    daily = full_grain._daily(spark, FOLDER, folders)
+    assert described() == before
+    assert sorted(f.rsplit("/", 1)[1].rsplit("-", 1)[0] for f in folders) == ["gift-lines", "off-lines", "on-lines", "other-lines"]
+    assert daily.count() > 0
