@@ -255,3 +255,31 @@ def test_held_lines_of_a_branch_give_the_same_rows(spark, world):
     plain = promo.gift_value(lines, world["brands"], prices, packs)
     assert len(folders) == 1 and held.columns == plain.columns and rowset(held) == rowset(plain) and held.count() >= 2
     assert any(folders[0].rsplit("/", 1)[1] in name for name in held.inputFiles())
+
+
+def test_month_rows_dealt_by_what_their_lines_share_are_the_same(spark):
+    columns = "invoice_type string, outlet_code string, product_code string, promotion_type string, promotion_mechanism string, promotion_id string, time_key int, promotion_value double"
+    daily = spark.createDataFrame([("OFF", f"O{i % 3}" if i % 7 else None, f"P{i % 2}", "OCCDIS", "LN", f"X{i % 5}", 20200101 + i, float(i)) for i in range(28)], columns)
+    near = monthly.month_rows(daily, "OFF", near=True)
+    assert rowset(near) == rowset(monthly.month_rows(daily, "OFF"))
+    plan = monthly.month_rows(daily, "OFF", near=True)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+    assert len(exchanges) == 1 and "REPARTITION_BY_COL" in exchanges[0] and "product_code" not in exchanges[0].split("hashpartitioning")[1].split(")")[0]
+
+
+def test_off_rows_that_know_their_outlet_are_coded_alike_without_joining_it(spark):
+    columns = "invoice_type string, outlet_code string, site_code string, product_code string, banded string, promotion_type string, promotion_mechanism string, promotion_id string, time_key int, promotion_value double"
+    rows = [("OFF", o, "S1", f"P{i % 2}", "Banded", ["OCCDIS", "PERSTR"][i % 2], "LN", f"X{i % 2}", 20200101 + i, float(i)) for i, o in enumerate(["O1", "O2", "O3", "O4", None] * 3)]
+    daily = spark.createDataFrame(rows, columns)
+    bridge = spark.createDataFrame([("O1", "A"), ("O2", "A"), ("O2", "B"), ("O3", "B"), (None, "C")], "outlet_code string, channel string")
+    outlets = spark.createDataFrame([("O1", "Y"), ("O1", "N"), ("O2", "N")], "outlet_code string, perfect_store string")
+    sizes = spark.createDataFrame([("O1", 1), ("O1", 2), ("O4", 3)], "outlet_code string, store_size_code int")
+    sites = spark.createDataFrame([("S1", "NORTH")], "site_code string, dt_region string")
+    codes = spark.createDataFrame([("CHANNEL", "A", 7), ("CHANNEL", "B", 8)], "ref_type string, ref_desc string, ref_code int")
+    lookups = (outlets, sites, codes, sizes)
+    told = promo.opened_channels(monthly.with_outlets(daily, outlets, sizes, bridge))
+    found, wanted = monthly.monthly_off(told, *lookups), monthly.monthly_off(daily.join(bridge, "outlet_code", "left"), *lookups)
+    assert sorted(found.columns) == sorted(wanted.columns) and rowset(found, *sorted(found.columns)) == rowset(wanted, *sorted(found.columns))
+    assert found.count() > 10
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert joins(monthly.monthly_off(told.drop("__known", "__perfect", "__sizes"), *lookups)) > joins(found)
