@@ -350,13 +350,16 @@ def monthly_on(spark: SparkSession, sf_dir: str) -> DataFrame:
 def monthly_off_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Off-invoice month rows: totals and flags sit on one marker row per month, outlet and product."""
     lines = views.processed_promos(spark, sf_dir)
-    off_lines = promo.off_invoice_lines(lines, views.dim_promotion(spark), views.bridge(spark, sf_dir))
+    lookups = _monthly_lookups(spark, sf_dir)
+    channels = views.bridge(spark, sf_dir, mapped=False)
+    # Lines are told of their outlet before they fan out over brands.
+    told = lambda df, label: promo.held(monthly.with_outlets(df, lookups[0], lookups[3], channels), label)
+    off_lines = told(promo.off_invoice_lines(lines, views.dim_promotion(spark), views.bridge(spark, sf_dir)), "off-lines")
     off = _off_allocated(spark, sf_dir, off_lines)
-    other = promo.unprocessed_mechanisms(lines)
+    other = told(promo.unprocessed_mechanisms(lines), "other-lines")
     booked = off.withColumn("product_code", F.col("standard_product_group_code"))
     union = booked.unionByName(other, allowMissingColumns=True)
-    daily = spread_join(union, views.bridge(spark, sf_dir, mapped=False), "outlet_code")
-    coded = monthly.monthly_off(daily, *_monthly_lookups(spark, sf_dir))
+    coded = monthly.monthly_off(promo.opened_channels(union), *lookups)
     return coded.groupBy("time_key", "promotion_type", "promotion_mechanism", "channel_code").agg(
         rows(),
         F.count("tot_occdis").alias("marker_rows"),
